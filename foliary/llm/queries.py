@@ -8,6 +8,7 @@ from .langid import op9_langid
 from .packing import op7_packing
 from .secrets import op8_secrets
 from .simhash import op3_simhash
+from .substring import OP2_SQL, op2_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op6_bpe, op7_packing, op8_secrets, op9_langid)}
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_simhash, op6_bpe, op7_packing, op8_secrets, op9_langid)}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL}
