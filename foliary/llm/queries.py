@@ -6,10 +6,11 @@ from .bpe import op6_bpe
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .langid import op9_langid
 from .packing import op7_packing
+from .pii import op4_pii
 from .quality import op10_quality
 from .secrets import op8_secrets
 from .simhash import op3_simhash
 from .substring import OP2_SQL, op2_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_simhash, op6_bpe, op7_packing, op8_secrets, op9_langid, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_simhash, op4_pii, op6_bpe, op7_packing, op8_secrets, op9_langid, op10_quality)}
 ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL}
