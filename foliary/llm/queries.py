@@ -11,6 +11,7 @@ from .quality import op10_quality
 from .secrets import op8_secrets
 from .simhash import op3_simhash
 from .substring import OP2_SQL, op2_substring_dedup
+from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_simhash, op4_pii, op6_bpe, op7_packing, op8_secrets, op9_langid, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_simhash, op4_pii, op5_toxicity, op6_bpe, op7_packing, op8_secrets, op9_langid, op10_quality)}
 ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op2_substring_dedup": OP2_SQL}
