@@ -49,7 +49,7 @@ def page_flags(anchors: DataFrame, p: Policy = POLICY) -> DataFrame:
     return anchors.groupBy("issue", "page").agg(
         flag(kind("text_block") & up.rlike(p.bilingual)).alias("bilingual"),
         flag(kind("ru_title") & starts).alias("digest"),
-        (flag(T.stripped(up).isin(*p.info)) & ~flag(kind("doi"))).alias("info"),
+        (flag(kind("text_block") & T.stripped(up).isin(*p.info)) & ~flag(kind("doi"))).alias("info"),
         flag((kind("ru_authors") & ~T.is_greeting(text)) | kind("en_authors")).alias("authors"),
         flag(kind("contents_marker")).alias("marker"),
         flag(early).alias("mid_article"),

@@ -25,9 +25,9 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = (F.col("issue") * 31 + F.col("pos") * 7) % CYCLE
     with_k = lines.withColumn("pos", F.col("pos").cast("long")).withColumn("k", k)
     texts = F.array(*(F.lit(t) for t in TEXTS))
-    y0 = (20 + F.col("pos") % 2 * 14 + F.col("k") % 3 * 4).cast("double")
+    y0 = (10 + F.col("pos") % 3 * 14 + F.col("k") % 3 * 4).cast("double")
     return with_k.select(
-        "issue", F.col("pos").alias("seq"), "k", (F.floor(F.col("pos") / 2) + 1).cast("long").alias("page"),
+        "issue", F.col("pos").alias("seq"), "k", (F.floor(F.col("pos") / 3) + 1).cast("long").alias("page"),
         F.when(F.col("k") < len(TEXTS), F.get(texts, F.col("k").cast("int"))).otherwise(F.col("line")).alias("text"),
         (F.col("k") % 5).cast("double").alias("x0"), y0.alias("y0"), (F.col("k") % 5 + 200).cast("double").alias("x1"), (y0 + 12).alias("y1"),
         (10 + (F.col("k") % 6) * 0.5).cast("double").alias("font_size"), F.when(F.col("k") % 4 < 2, "MyriadPro-BoldIt").otherwise("Times").alias("font_name"), F.lit(100.0).alias("page_height"),
@@ -63,8 +63,8 @@ span_lines AS (
   SELECT doc_id AS issue, unnest(string_split(text, chr(10))) AS line, CAST(unnest(range(0, len(string_split(text, chr(10))))) AS BIGINT) AS pos FROM documents
 ), span_keys AS (SELECT *, (issue * 31 + pos * 7) % {CYCLE} AS k FROM span_lines),
 spans AS (
-  SELECT issue, pos AS seq, k, pos // 2 + 1 AS page, CASE WHEN k < {len(TEXTS)} THEN [{", ".join(map(_literal, TEXTS))}][k + 1] ELSE line END AS text,
-    CAST(k % 5 AS DOUBLE) AS x0, CAST(20 + pos % 2 * 14 + k % 3 * 4 AS DOUBLE) AS y0, CAST(k % 5 + 200 AS DOUBLE) AS x1, CAST(32 + pos % 2 * 14 + k % 3 * 4 AS DOUBLE) AS y1,
+  SELECT issue, pos AS seq, k, pos // 3 + 1 AS page, CASE WHEN k < {len(TEXTS)} THEN [{", ".join(map(_literal, TEXTS))}][k + 1] ELSE line END AS text,
+    CAST(k % 5 AS DOUBLE) AS x0, CAST(10 + pos % 3 * 14 + k % 3 * 4 AS DOUBLE) AS y0, CAST(k % 5 + 200 AS DOUBLE) AS x1, CAST(22 + pos % 3 * 14 + k % 3 * 4 AS DOUBLE) AS y1,
     CAST(10 + (k % 6) * 0.5 AS DOUBLE) AS font_size, CASE WHEN k % 4 < 2 THEN 'MyriadPro-BoldIt' ELSE 'Times' END AS font_name, 100.0::DOUBLE AS page_height
   FROM span_keys
 )"""

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 FRAME = "path string, page int, height double, text string, has_toc boolean, blocks string"
 
@@ -18,7 +18,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str, only_wit
     only_with_status: an envelope counts as one only if it has a status. require_success: failed envelopes are left out.
     """
     fields = spark.createDataFrame([], schema).schema
-    envelope = StructType(fields.fields).add("status", "string").add("data", fields)
+    envelope = StructType([*fields.fields, StructField("status", StringType()), StructField("data", fields)])
     raw = spark.read.schema(envelope).option("multiLine", True).json(path)
     raw = raw.where("status is null or status = 'success'") if require_success else raw
     inner = F.when(F.col("status").isNotNull(), F.col("data")) if only_with_status else F.col("data")
