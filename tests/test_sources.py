@@ -4,6 +4,7 @@ import json
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from foliary.operators import runs
@@ -62,7 +63,7 @@ def duck():
 def rows(df):
     """Rows as texts, columns by name; whole numbers that nulls made floats count as whole."""
     df = df[sorted(df.columns)]
-    text = lambda x: "~" if x is None or x != x else str(int(x)) if isinstance(x, float) and x == int(x) else str(x)
+    text = lambda x: "~" if pd.isna(x) else str(int(x)) if isinstance(x, float) and x == int(x) else str(x)
     return sorted(tuple(map(text, r)) for r in df.astype(object).itertuples(index=False))
 
 
