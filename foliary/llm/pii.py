@@ -102,13 +102,18 @@ def described(text: Column, gen: int, m: Column) -> Column:
     )
 
 
+def describing(text: Column, gen: int):  # noqa: ANN201
+    """One argument only: transform() would hand a second one the element's place."""
+    return lambda m: described(text, gen, m)
+
+
 def proposed(docs: DataFrame) -> DataFrame:
     """doc_id, base spans by kind, candidates with features and whether a base span confirms or touches them."""
     rows = no_clash(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
     base = rows.select("doc_id", "text", *(c.alias(k) for k, c in base_spans(text).items()))
     worth = [text.rlike(r"[0-9][0-9\x20().-]{5}"), text.rlike(r"[\[(](?:at|AT)[\])]"), text.rlike("[A-Z]{2}[0-9]{2}[A-Z0-9]{11}")]
-    cands = F.concat(*(F.transform(located(text, g, w), lambda m, k=k: described(text, k, m)) for k, (g, w) in enumerate(zip(GENERATORS, worth, strict=True))))
+    cands = F.concat(*(F.transform(located(text, g, w), describing(text, k)) for k, (g, w) in enumerate(zip(GENERATORS, worth, strict=True))))
     short = [F.transform(k, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))).alias(k) for k in KINDS]
     met = base.select("doc_id", *short, cands.alias("cands"))
     every = F.concat(*KINDS)
