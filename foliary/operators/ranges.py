@@ -102,19 +102,20 @@ def surnames(found: DataFrame, anchors: DataFrame) -> DataFrame:
     near = research.withColumn("page", F.explode(F.array(F.col("lo"), F.col("lo") + 1))).join(anchors.where("type in ('ru_authors', 'en_authors', 'text_block')"), ["issue", "page"]).where(~T.is_running_header(F.col("text")))
     blocks = near.where((F.col("type") == "text_block") & T.is_byline(F.col("text")))
     w = Window.partitionBy("issue", "id").orderBy("seq")
-    word = T.first_word(F.col("text"))
-    ru, en = T.capitalised(T.transliterate(word)), T.capitalised(word)
-    is_ru = word.rlike(f"^[{T.CYRILLIC}]")
-    seen = blocks.withColumn("nth", F.row_number().over(w)).where("nth <= 6")
+    # Names as columns of their own, so that the rules below don't repeat the whole transliteration.
+    seen = blocks.withColumn("nth", F.row_number().over(w)).where("nth <= 6").withColumn("word", T.first_word(F.col("text"))).withColumn("latin", T.transliterate(F.col("word")))
+    seen = seen.withColumn("ru_word", T.capitalised(F.col("latin"))).withColumn("en_word", T.capitalised(F.col("word")))
+    ru, en, is_ru = F.col("ru_word"), F.col("en_word"), F.col("word").rlike(f"^[{T.CYRILLIC}]")
     seen = seen.withColumn("ru_name", F.when(is_ru & T.is_surname(ru, True), ru)).withColumn("en_name", F.when(~is_ru & T.is_english_surname(en) & T.is_surname(en, True), en))
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("nth")))
     step_c = seen.groupBy("issue", "id").agg(first("ru_name").alias("c_ru"), first("en_name").alias("c_en"))
     head = lambda k: F.min_by("text", F.when(F.col("type") == k, F.col("seq")))
     heads = near.groupBy("issue", "id").agg(head("ru_authors").alias("ru"), head("en_authors").alias("en"))
     all_rows = research.join(heads, ["issue", "id"], "left").join(step_c, ["issue", "id"], "left")
-    own, other = T.first_surname(F.col("ru")), T.capitalised(T.first_surname(F.col("en")))
+    all_rows = all_rows.withColumn("own", T.first_surname(F.col("ru"))).withColumn("second", T.first_surname(F.col("en"))).withColumn("other", T.capitalised(F.col("second")))
+    all_rows = all_rows.withColumn("spelled", T.transliterate(F.col("own"))).withColumn("latin", T.capitalised(F.col("spelled")))
+    own, other, latin = F.col("own"), F.col("other"), F.col("latin")
     good = T.is_english_surname(other) & T.is_surname(other)
-    latin = T.capitalised(T.transliterate(own))
     pick = lambda name, source: F.struct(name.alias("surname"), F.lit(source).alias("source"))
     found_name = F.coalesce(
         F.when(own.isNotNull() & good, pick(other, "ru_authors_author_translit")),
