@@ -29,11 +29,14 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9]|)"
 CARD = rf"[0-9][0-9{JOINT}]+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Generators of candidates: digit groups, addresses in words, account numbers.
+#: Generators of candidates: digit groups, addresses in words, account numbers; card and phone numbers of the usual
+#: shape also within a longer run of digits and separators, which a base rule takes, and drops, as a whole.
 GENERATORS = (
     r"\+?[0-9(][0-9\x20().-]{5,40}[0-9]",
     r"[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9.-]{3,64}",
     r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
+    r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])",
+    r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])",
 )
 CUES = r"(?:phone|tel|mobile|call|card|visa|account|iban|mail|contact|ssn|passport)[^\n]{0,16}$"
 FEATURES = ("gen", "digits", "plus", "sep", "luhn", "cue", "before", "after", "lead")
@@ -112,7 +115,7 @@ def proposed(docs: DataFrame) -> DataFrame:
     rows = no_clash(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
     base = rows.select("doc_id", "text", *(c.alias(k) for k, c in base_spans(text).items()))
-    worth = [text.rlike(r"[0-9][0-9\x20().-]{5}"), text.rlike(r"[\[(](?:at|AT)[\])]"), text.rlike("[A-Z]{2}[0-9]{2}[A-Z0-9]{11}")]
+    worth = [text.rlike(r"[0-9][0-9\x20().-]{5}"), text.rlike(r"[\[(](?:at|AT)[\])]"), text.rlike("[A-Z]{2}[0-9]{2}[A-Z0-9]{11}"), text.rlike(r"[0-9]{4}(?:[\x20-]?[0-9]{4}){3}"), text.contains("+")]
     cands = F.concat(*(F.transform(located(text, g, w), describing(text, k)) for k, (g, w) in enumerate(zip(GENERATORS, worth, strict=True))))
     short = [F.transform(k, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))).alias(k) for k in KINDS]
     met = base.select("doc_id", *short, cands.alias("cands"))

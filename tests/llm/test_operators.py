@@ -205,6 +205,17 @@ def test_private(spark, empty):
     assert pii.find_private(empty).count() == 0
 
 
+def test_private_adds_numbers_that_base_rules_drop(spark):
+    """Two cards in one run of digits, and a phone number before an address: base rules take the run as a whole and drop it."""
+    one, two = "4111111111111111", "5500005555555559"
+    texts = [f"{w} {n} {w}" for w in VOCAB[:60] for n in (one, two, "+1 (017) 555-7713", "4111111111111112")]
+    df = frame(spark, [*texts, f"a {one} {two} b", "a +1 (017) 555-7713 190.137.223.204 b"], repeat=False)
+    got = {r.doc_id // 3: r for r in pii.find_private(df).collect()}
+    assert got[len(texts)].spans == "other:2:18,other:19:35"
+    assert got[len(texts) + 1].spans == "ip:20:35,other:2:19"
+    assert all(got[i].n_other == 0 for i in range(len(texts)))
+
+
 def test_toxicity(spark, empty):
     mark = lambda i: i % 3 == 0
     texts = [prose(40, i) + (" you are a snarkle. Such a snarkle" if mark(i) else "") for i in range(240)]
