@@ -83,9 +83,11 @@ class Classes(dict):
     def __init__(self, lexicon: dict[str, float]) -> None:
         super().__init__()
         self.lexicon = lexicon
+        #: What a word must begin with to be an insult or a threat.
+        self.starts = frozenset(k[: BEGINNINGS[0]] for k in (*lexicon, *THREAT))
 
     def __missing__(self, w: str) -> tuple[int, float] | None:
-        found = max((self.lexicon.get(k, 0.0) for k in stems(w)), default=0.0)
+        found = max((self.lexicon.get(k, 0.0) for k in stems(w)), default=0.0) if w[: BEGINNINGS[0]] in self.starts else 0.0
         if found:
             out: tuple[int, float] | None = (INSULT, found)
         elif w in THREAT:
@@ -114,21 +116,21 @@ def stems(word: str) -> list[str]:
 def features(text: str | None, classes: Classes) -> list[float]:
     """Features of a text from its scored clauses."""
     tokens = TOKEN.findall((text or "").lower())
-    got = list(map(classes.__getitem__, tokens))
-    at = [i for i, g in enumerate(got) if g is not None and (g[0] == INSULT or g[0] == THREATENS)]
+    starts, n_start = classes.starts, BEGINNINGS[0]
+    # Most words can be neither insult nor threat by their first letters; the rest are looked up near those only.
+    at = [i for i, w in enumerate(tokens) if w[:n_start] in starts and (g := classes[w]) is not None and g[0] in (INSULT, THREATENS)]
     clauses: list[float] = []
-    kinds: set[str] = set()
+    kinds = {tokens[i] for i in at}
     done = -1
     for i in at:
-        kinds.add(tokens[i])
         if i <= done:
             continue
         lo = i
-        while lo > done + 1 and lo > i - 64 and got[lo - 1] != (ENDS, 0.0):
+        while lo > done + 1 and lo > i - 64 and classes[tokens[lo - 1]] != (ENDS, 0.0):
             lo -= 1
         state, score = START, 0.0
-        while lo < len(got):
-            g = got[lo] or (OTHER, 0.0)
+        while lo < len(tokens):
+            g = classes[tokens[lo]] or (OTHER, 0.0)
             state, factor = GRAMMAR[state, g[0]]
             score += factor * g[1]
             if g[0] == ENDS:
