@@ -8,8 +8,8 @@ the cross entropy, and the language with the least wins (the first by name on a
 The parse is over classes of UTF-8 bytes (letters without case, digits, all else as one space) and starts anew every
 BLOCK bytes, so that a long text is many short lanes that go in step.
 
-Sample: of each language the SAMPLE_DOCS rows whose ids hash lowest, up to SAMPLE_CHARS characters from the start of
-each. It is bounded for each language, not for the corpus. Rows with a null lang or text teach nothing.
+Sample: of each language the SAMPLE_DOCS rows whose ids hash lowest; of a longer text the SAMPLE_CHARS characters from a
+place that the id's hash gives. It is bounded for each language, not for the corpus. Rows with a null lang or text teach nothing.
 
 A text that is null or has no letter gives `und` with score 0; with no language learned, all do. Repeated rows each get
 their row; extra columns are ignored.
@@ -140,7 +140,9 @@ def learn(train: DataFrame) -> tuple[tuple[str, bytes], ...]:
     rows = no_clash(train, "doc_id", "text", "lang").where("lang is not null and length(text) > 0")
     low = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = rows.select("doc_id", "lang").withColumn("nth", F.row_number().over(low)).where(F.col("nth") <= SAMPLE_DOCS).select("doc_id", "lang").distinct()
-    taken = rows.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("part")).collect()
+    at = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int")
+    part = F.substring(F.col("text"), at + 1, F.lit(SAMPLE_CHARS))
+    taken = rows.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "doc_id", part.alias("part")).collect()
     by: dict[str, list] = {}
     for r in sorted(taken, key=lambda r: (r.lang, r.doc_id if r.doc_id is not None else -1, r.part)):
         by.setdefault(r.lang, []).append(r.part)
