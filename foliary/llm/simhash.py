@@ -217,9 +217,8 @@ def simhash_classes(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
-def keep_first_near(docs: DataFrame) -> DataFrame:
-    """Of each class of near-duplicates the row with the smallest id, with all its columns."""
-    rows, classes = near_classes(docs)
+def keep_first(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of each class (of near_classes, or of the same form) the row with the smallest id, with all its columns."""
     tops = classes.select(F.col("first.doc_id").alias("_top"), F.col("first.th").alias("_hash")).distinct()
     stay = rows.join(tops, rows.doc_id.eqNullSafe(tops._top) & (rows.th == tops._hash), "left_semi").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("n").alias("_n"))
     met = docs.withColumn("_own", F.xxhash64("text")).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")))
@@ -227,5 +226,10 @@ def keep_first_near(docs: DataFrame) -> DataFrame:
     return once.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def keep_first_near(docs: DataFrame) -> DataFrame:
+    """Of each class of near-duplicates the row with the smallest id, with all its columns."""
+    return keep_first(docs, *near_classes(docs))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(documents(spark, sf_dir))
