@@ -22,10 +22,10 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import by_batch, documents
+from .common import by_batch, documents, no_clash
 
-#: Entries that a worker remembers at most, for each of its two tables.
-REMEMBERED = 400_000
+#: Entries that a worker remembers at most, for each of its two tables; twice as many for pairs.
+REMEMBERED = 300_000
 #: The splitting pattern that byte-level vocabularies of this family are used with.
 SPLIT_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same for a library whose \s holds more than Unicode's White_Space.
@@ -73,17 +73,18 @@ class Bpe:
             self.automaton.add_word(b.decode("latin-1"), (i, len(b)))
         self.automaton.make_automaton()
         self.split = regex.compile(SPLIT)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.chunks = _Chunks(self)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether encoding a's and b's bytes together gives a, b."""
-        if (known := self.pairs.get((a, b))) is None:
-            if len(self.pairs) > 2_000_000:
+        pair = a << 32 | b
+        if (known := self.pairs.get(pair)) is None:
+            if len(self.pairs) >= 2 * REMEMBERED:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self._stays(a, b)
+            known = self.pairs[pair] = self._stays(a, b)
         return known
 
     def _stays(self, a: int, b: int) -> bool:
@@ -230,7 +231,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, keep: bool = False)
                 out["decoded"].append(back)
         return out
 
-    return by_batch(docs, ["doc_id", "text"], work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep)
+    return by_batch(no_clash(docs, "doc_id", "text"), ["doc_id", "text"], work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,16 +17,23 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir). Only where none is set, one of our own is."""
+    """The folder that all executors share (spark.checkpoint.dir). Where none is set, a local session gets one of its own; on a cluster that is an error."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        own = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not own and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, is computed once."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -69,6 +76,73 @@ def by_batch(df: DataFrame, columns: list[str], work: Callable[..., dict | None]
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def by_whole_rows(docs: DataFrame, change: Callable[[pa.RecordBatch, list], pa.RecordBatch], chars: int = 2_000_000) -> DataFrame:
+    """change(rows, their texts) -> rows of the same columns. Columns go by their place, so any names will do."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    at = docs.columns.index("text")
+    placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    out = to_arrow_schema(placed.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = [c.cast(f.type) if c.type != f.type else c for c, f in zip(b.columns, out, strict=True)]
+            whole = pa.RecordBatch.from_arrays(cols, schema=out)
+            for lo, hi in pieces(whole.column(at), chars):
+                part = whole.slice(lo, hi - lo)
+                yield change(part, part.column(at).to_pylist())
+
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """name, with underscores put behind it until no column has it."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+#: A key counts as hot from this share of all rows on, so that there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1 / 1000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
+    """rows joined with the one row that groups have for each key. groups.size: how many rows have the key; it is dropped.
+
+    Hot keys, a thousand at most, are broadcast, so their rows stay where they are; the others meet by a shuffle. Both
+    sides must be cheap to read twice.
+    """
+    total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    is_hot = F.col(size) > max(1000, int(total * HOT_SHARE))
+    hot = stored(groups.where(is_hot).drop(size))
+    cold = groups.where(~is_hot).drop(size)
+    if not hot.limit(1).count():
+        return rows.join(cold, on)
+    few = F.broadcast(hot)
+    return rows.join(few, on).unionByName(rows.join(few.select(*on), on, "left_anti").join(cold, on))
+
+
+#: Dropped rows are broadcast up to this number: 24 bytes each, some tens of MB as a hash table.
+BROADCAST_ROWS = 200_000
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs less some rows, with all their columns. gone: doc_id, th (xxhash64 of text), extra (rows of that id and text that stay, 0 or 1).
+
+    Only the narrow `gone` is hashed and, up to BROADCAST_ROWS rows, broadcast, so that texts need no shuffle; beyond it
+    rows meet by a shuffle of id and hash. Of repeated rows with extra = 1, one stays.
+    """
+    mine, theirs, extra = (free_name(docs.columns, x) for x in ("own_row", "gone_row", "extra_rows"))
+    few = stored(gone.select(F.struct("doc_id", "th").alias(theirs), F.col("extra").alias(extra)))
+    n, repeated = few.agg(F.count("*"), F.coalesce(F.max(extra), F.lit(0))).first()
+    rows = docs.withColumn(mine, F.struct(F.col("doc_id"), F.xxhash64("text").alias("th")))
+    met = rows.join(F.broadcast(few) if n <= BROADCAST_ROWS else few, rows[mine].eqNullSafe(few[theirs]), "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = met.where(F.col(extra).isNull()).select(*columns)
+    return whole.unionByName(met.where(F.col(extra) == 1).dropDuplicates([mine]).select(*columns)) if repeated else whole
+
+
 def pieces(texts: pa.Array, chars: int) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts hold about `chars` bytes; one longer text is a piece of its own."""
     n = len(texts)

@@ -1,35 +1,42 @@
 """Language identification by cross-parsing entropy.
 
-For each language a suffix automaton is built over a bounded sample of labelled text. A text is parsed by each: the
-longest stretch that occurs in the sample is a phrase, then the next begins. Few phrases mean that the text is made of
-the language's own long stretches; phrases by length of text, times the bits that name a place in the sample, estimate
-the cross entropy, and the language with the least wins (the first by name on a tie).
+For each language a suffix automaton is built over labelled text. A text is parsed by each: the longest stretch that
+occurs in the sample is a phrase, then the next begins. Few phrases mean that the text is made of the language's own long
+stretches; phrases, times the bits that name a place in the sample, estimate the cross entropy, and the language with the
+least wins (the first by name on a tie).
 
-The parse is over classes of UTF-8 bytes (letters without case, digits, all else as one space) and starts anew every
-BLOCK bytes, so that a long text is many short lanes that go in step.
+The parse is over classes of UTF-8 bytes (letters without case, digits, all else as one space), from a text's first
+symbol to its last. Blocks of a long text are parsed side by side from a guessed start; then each is parsed again from
+where the block before really left off, until it meets a phrase of its first parse, from where on both agree. What comes
+out is the plain parse, whatever the length.
 
-Sample: of each language the SAMPLE_DOCS rows whose ids hash lowest; of a longer text the SAMPLE_CHARS characters from a
-place that the id's hash gives. It is bounded for each language, not for the corpus. Rows with a null lang or text teach nothing.
+Teaching rows, of each language: whole texts, distinct ones (copies count once), SAMPLE_DOCS at most, by their hash; texts
+of up to LONG characters come first, and of longer ones the shorter, until TEACH_CHARS (TEACH_TOTAL over the number of
+languages, if that is less) would be passed; the first is taken in any case. No text is cut. Rows with a null lang or text
+teach nothing.
 
 A text that is null or has no letter gives `und` with score 0; with no language learned, all do. Repeated rows each get
-their row; extra columns are ignored.
+their row; extra columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
 
-import re
-from functools import lru_cache
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, id_crc, no_clash, pieces
+from .common import by_batch, by_whole_rows, documents, id_crc, no_clash
 
-SAMPLE_DOCS, SAMPLE_CHARS, BLOCK = 40, 1000, 512
+SAMPLE_DOCS, LONG, TEACH_CHARS, TEACH_TOTAL = 40, 4_000, 100_000, 4_000_000
+#: Symbols of a block, and how often blocks are parsed side by side before the rest is parsed one by one.
+BLOCK, ROUNDS = 512, 4
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def byte_classes() -> np.ndarray:
@@ -54,8 +61,8 @@ def symbols(data: np.ndarray) -> np.ndarray:
     return c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])] if len(c) else c
 
 
-def suffix_automaton(seq: list[int]) -> np.ndarray:
-    """Transitions (states x classes), -1 where there is none, of the automaton of all stretches of seq."""
+def suffix_automaton(seq: list[int]) -> list[dict[int, int]]:
+    """Transitions by state (the first is the start) of the automaton of all stretches of seq."""
     to: list[dict[int, int]] = [{}]
     link, size, last = [-1], [0], 0
     for c in seq:
@@ -81,91 +88,182 @@ def suffix_automaton(seq: list[int]) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    table = np.full((len(to), N_CLASSES), -1, np.int32)
+    return to
+
+
+@dataclass(frozen=True)
+class Model:
+    """An automaton in two rows: a state is a number, and its step by class c is at state + c, if that place is its own."""
+
+    lang: str
+    owner: np.ndarray
+    target: np.ndarray
+    anew: np.ndarray
+    bits: float
+
+    @classmethod
+    def of(cls, lang: str, text: str) -> Model:
+        seq = symbols(np.frombuffer(text.encode("utf-8", "replace"), np.uint8))
+        owner, target = packed_rows(suffix_automaton(seq.tolist()))
+        # The start state is number 0; after a failed step a phrase begins with the symbol that failed. One that the
+        # sample lacks is a phrase of its own: the state behind the last has no steps.
+        first = np.where(owner[:N_CLASSES] == 0, target[:N_CLASSES], len(owner)).astype(np.int32)
+        owner, target = (np.concatenate([x, np.full(N_CLASSES, -1, np.int32)]) for x in (owner, target))
+        return cls(lang, owner, target, first, float(np.log2(max(2, len(seq)))))
+
+
+def packed_rows(to: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lay the states' transitions into one row so that no two use a place; wide states first, each from where the last of its width fitted."""
+    room = 4 * sum(map(len, to)) + 4 * len(to) + 2 * N_CLASSES + 64
+    taken, used, place = bytearray(room), bytearray(room), [0] * len(to)
+    start = [0] * (N_CLASSES + 1)
+    for s in [0, *sorted(range(1, len(to)), key=lambda s: -len(to[s]))]:
+        cs = list(to[s])
+        first = cs[0] if cs and s else 0
+        # `spot` is where the first transition goes; the state's number is spot - first.
+        spot = first if not s else max(start[len(cs)], first)
+        while (cs and taken[spot]) or used[spot - first] or any(taken[spot - first + c] for c in cs):
+            spot = taken.find(0, spot + 1) if cs else spot + 1
+            if spot < 0:
+                spot = len(taken)
+            if spot + N_CLASSES >= len(taken):
+                taken.extend(bytes(room))
+                used.extend(bytes(room))
+        start[len(cs)], place[s] = spot, spot - first
+        used[spot - first] = 1
+        for c in cs:
+            taken[spot - first + c] = 1
+    end = max(place) + N_CLASSES + 1
+    owner, target = np.full(end, -1, np.int32), np.zeros(end, np.int32)
     for s, row in enumerate(to):
-        table[s, list(row)] = list(row.values())
-    return table
-
-
-@lru_cache(maxsize=2)
-def automata(samples: tuple[tuple[str, bytes], ...]) -> list[tuple[str, np.ndarray, np.ndarray, float]]:
-    """Language, transitions, what follows a failed step, bits a phrase; one set for each worker process."""
-    out = []
-    for lang, raw in samples:
-        seq = symbols(np.frombuffer(raw, np.uint8))
-        table = suffix_automaton(seq.tolist())
-        out.append((lang, (table * N_CLASSES).ravel(), np.where(table[0] < 0, 0, table[0]) * N_CLASSES, float(np.log2(max(2, len(seq))))))
+        for c, t in row.items():
+            owner[place[s] + c], target[place[s] + c] = place[s], place[t]
+    return owner, target
+
+
+def run_lanes(flat: np.ndarray, model: Model, at: np.ndarray, end: np.ndarray, stop: np.ndarray, marks: np.ndarray, meet: bool) -> np.ndarray:
+    """Parse from `at` past `end` to the next phrase, or to `stop`; marks get the phrases that begin before `end`.
+
+    Gives where each lane left off; -1 for lanes that met a mark of an earlier parse (with meet), from where on it holds.
+    """
+    out = np.full(len(at), -1, np.int64)
+    lane = np.arange(len(at))
+    marks[at] = True
+    state, p = model.anew[flat[at]], at + 1
+    while len(lane):
+        over = p >= stop
+        if over.any():
+            out[lane[over]] = stop[over]
+            keep = ~over
+            lane, p, end, stop, state = lane[keep], p[keep], end[keep], stop[keep], state[keep]
+            if not len(lane):
+                break
+        c = flat[p]
+        slot = state + c
+        fail = model.owner[slot] != state
+        state = np.where(fail, model.anew[c], model.target[slot])
+        inside = p < end
+        gone = fail & ~inside
+        out[lane[gone]] = p[gone]
+        if meet:
+            gone |= fail & inside & marks[p]
+            inside &= ~gone
+        marks[p[inside]] = fail[inside]
+        if gone.any():
+            keep = ~gone
+            lane, p, end, stop, state = lane[keep], p[keep], end[keep], stop[keep], state[keep]
+        p = p + 1
     return out
 
 
-def phrases(lanes: np.ndarray, sizes: np.ndarray, table: np.ndarray, anew: np.ndarray) -> np.ndarray:
-    """Phrases of each lane. lanes: position x lane, lanes by falling size. States come multiplied by N_CLASSES."""
-    state, count = np.zeros(lanes.shape[1], np.int32), np.zeros(lanes.shape[1], np.int32)
-    active = np.searchsorted(-sizes, -np.arange(lanes.shape[0]), side="left")
-    for at, n in enumerate(active):
-        if not n:
+def run_one(flat: np.ndarray, model: Model, at: int, stop: int, marks: np.ndarray) -> None:
+    """The plain parse of one stretch."""
+    owner, target, anew, chars, mark = memoryview(model.owner), memoryview(model.target), memoryview(model.anew), memoryview(flat), memoryview(marks)
+    mark[at] = True
+    state = anew[chars[at]]
+    for p in range(at + 1, stop):
+        c = chars[p]
+        slot = state + c
+        fail = owner[slot] != state
+        mark[p] = fail
+        state = anew[c] if fail else target[slot]
+
+
+def phrases(flat: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndarray:
+    """Phrases of each text (texts of one symbol or more, laid end to end)."""
+    stop_of = np.cumsum(sizes)
+    per = -(-sizes // BLOCK)
+    text = np.repeat(np.arange(len(sizes)), per)
+    first = np.concatenate([[True], text[1:] != text[:-1]])
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
+    at = (stop_of - sizes)[text] + nth * BLOCK
+    stop = stop_of[text]
+    end = np.minimum(at + BLOCK, stop)
+    marks = np.zeros(len(flat) + 1, bool)
+    entry = at.copy()
+    left = run_lanes(flat, model, at, end, stop, marks, False)
+    for turn in range(ROUNDS + 1):
+        wanted = np.where(first, at, np.concatenate([[0], left[:-1]]))
+        again = np.flatnonzero(wanted != entry)
+        if not len(again):
             break
-        c = lanes[at, :n]
-        nxt = table[state[:n] + c]
-        fail = nxt < 0
-        count[:n] += fail
-        state[:n] = np.where(fail, anew[c], nxt)
-    return count + (sizes > 0)
-
-
-def classify(texts: list[str | None], samples: tuple[tuple[str, bytes], ...]) -> tuple[list[str], list[float]]:
-    models = automata(samples)
-    seqs = [symbols(np.frombuffer(t.encode("utf-8", "replace"), np.uint8)) if t and models and LETTER.search(t) else np.zeros(0, np.uint8) for t in texts]
-    lens = np.array([len(s) for s in seqs], np.int64)
-    lane_of = np.repeat(np.arange(len(seqs)), -(-lens // BLOCK))
-    if not len(lane_of):
-        return [UND] * len(texts), [0.0] * len(texts)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(lane_of)) + 1])
-    nth = np.arange(len(lane_of)) - np.repeat(first, np.diff(np.append(first, len(lane_of))))
-    sizes = np.minimum(BLOCK, lens[lane_of] - nth * BLOCK).astype(np.int32)
-    starts = (np.cumsum(lens) - lens)[lane_of] + nth * BLOCK
-    order = np.argsort(-sizes, kind="stable")
-    flat = np.concatenate([*seqs, np.zeros(BLOCK, np.uint8)])
-    lanes = np.ascontiguousarray(flat[starts[order][None, :] + np.arange(sizes.max())[:, None]])
-    costs = np.stack([bits * np.bincount(lane_of[order], phrases(lanes, sizes[order], table, anew), len(seqs)) for _, table, anew, bits in models])
-    best = costs.argmin(axis=0)
+        if turn == ROUNDS:
+            for k in again[np.concatenate([[True], text[again][1:] != text[again][:-1]])]:
+                marks[at[k] : wanted[k]] = False
+                if wanted[k] < stop[k]:
+                    run_one(flat, model, int(wanted[k]), int(stop[k]), marks)
+            break
+        entry[again] = wanted[again]
+        gap = np.minimum(wanted[again], end[again]) - at[again]
+        marks[np.repeat(at[again], gap) + np.arange(gap.sum()) - np.repeat(np.cumsum(gap) - gap, gap)] = False
+        within = wanted[again] < end[again]
+        left[again[~within]] = wanted[again[~within]]
+        new = again[within]
+        new = new[~marks[entry[new]]]
+        got = run_lanes(flat, model, entry[new], end[new], stop[new], marks, True)
+        left[new[got >= 0]] = got[got >= 0]
+    return np.add.reduceat(marks[:-1].astype(np.int64), stop_of - sizes)
+
+
+def classify(texts: list[str | None], models: list[Model]) -> tuple[list[str], list[float]]:
+    at = [i for i, t in enumerate(texts) if t and models and LETTER.search(t)]
+    langs, scores = [UND] * len(texts), [0.0] * len(texts)
+    if not at:
+        return langs, scores
+    seqs = [symbols(np.frombuffer(texts[i].encode("utf-8", "replace"), np.uint8)) for i in at]
+    flat, sizes = np.concatenate(seqs), np.array([len(s) for s in seqs], np.int64)
+    costs = np.stack([m.bits * phrases(flat, sizes, m) for m in models])
     low = costs.min(axis=0)
     others = np.sort(costs, axis=0)[1] if len(models) > 1 else low * 2
-    score = np.where(others > 0, 1 - low / np.maximum(others, 1e-9), 0.0)
-    return [models[b][0] if n else UND for b, n in zip(best, lens, strict=True)], [float(s) if n else 0.0 for s, n in zip(score, lens, strict=True)]
-
+    for i, best, x, y in zip(at, costs.argmin(axis=0).tolist(), low.tolist(), others.tolist(), strict=True):
+        langs[i], scores[i] = models[best].lang, 1 - x / y if y > 0 else 0.0
+    return langs, scores
 
-def learn(train: DataFrame) -> tuple[tuple[str, bytes], ...]:
-    """Samples by language of rows with doc_id, text, lang."""
-    rows = no_clash(train, "doc_id", "text", "lang").where("lang is not null and length(text) > 0")
-    low = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.select("doc_id", "lang").withColumn("nth", F.row_number().over(low)).where(F.col("nth") <= SAMPLE_DOCS).select("doc_id", "lang").distinct()
-    at = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int")
-    part = F.substring(F.col("text"), at + 1, F.lit(SAMPLE_CHARS))
-    taken = rows.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "doc_id", part.alias("part")).collect()
-    by: dict[str, list] = {}
-    for r in sorted(taken, key=lambda r: (r.lang, r.doc_id if r.doc_id is not None else -1, r.part)):
-        by.setdefault(r.lang, []).append(r.part)
-    return tuple((lang, " ".join(by[lang]).encode("utf-8", "replace")) for lang in sorted(by))
 
+def teaching(train: DataFrame) -> DataFrame:
+    """lang, h, text of the teaching rows."""
+    rows = no_clash(train, "text", "lang").where("lang is not null and length(text) > 0").select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"), "text")
+    # Of the distinct texts of a language some 16 times as many as are wanted, by hash: all tasks find them without a sort.
+    share = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))
+    bound = share.select("lang", F.least(F.lit(1.0), 16 * SAMPLE_DOCS / F.col("texts")).alias("share"))
+    some = rows.select("lang", "h", "n").join(F.broadcast(bound), "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).groupBy("lang", "h").agg(F.min("n").alias("n"))
+    by = Window.partitionBy("lang").orderBy(F.greatest("n", F.lit(LONG)), "h")
+    most = F.least(F.lit(TEACH_CHARS), F.floor(F.lit(TEACH_TOTAL) / F.greatest(F.lit(1), F.col("langs"))))
+    ranked = some.crossJoin(F.broadcast(share.agg(F.count("*").alias("langs")))).withColumn("nth", F.row_number().over(by)).withColumn("upto", F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    picked = ranked.where((F.col("nth") <= SAMPLE_DOCS) & ((F.col("upto") <= most) | (F.col("nth") == 1))).select("lang", "h")
+    return rows.select("lang", "h", "text").join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
-def predict(docs: DataFrame, samples: tuple[tuple[str, bytes], ...]) -> DataFrame:
-    """docs' own columns, then lang_pred and score."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    out, at = to_arrow_schema(schema), docs.columns.index("text")
+def learn(train: DataFrame) -> list[Model]:
+    """A model for each language of rows with text and lang, by name; built on executors, bounded by TEACH_TOTAL."""
 
-    def run(batches):  # noqa: ANN001, ANN202
-        for b in batches:
-            for lo, hi in pieces(b.column(at), 2_000_000):
-                part = b.slice(lo, hi - lo)
-                lang, score = classify(part.column(at).to_pylist(), samples)
-                cols = [c.cast(f.type) if c.type != f.type else c for c, f in zip(part.columns, out, strict=False)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema=out)
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        m = Model.of(key[0], " ".join(rows.sort_values("h")["text"]))
+        return pd.DataFrame({"lang": [m.lang], "owner": [m.owner.tobytes()], "target": [m.target.tobytes()], "anew": [m.anew.tobytes()], "bits": [m.bits]})
 
-    return docs.mapInArrow(run, schema)
+    made = teaching(train).groupBy("lang").applyInPandas(build, "lang string, owner binary, target binary, anew binary, bits double").collect()
+    as_row = lambda b: np.frombuffer(b, np.int32)
+    return [Model(r.lang, as_row(r.owner), as_row(r.target), as_row(r.anew), r.bits) for r in sorted(made, key=lambda r: r.lang)]
 
 
 def held_out(docs: DataFrame):  # noqa: ANN201
@@ -175,15 +273,24 @@ def held_out(docs: DataFrame):  # noqa: ANN201
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row."""
-    samples = learn(docs.where(~held_out(docs)))
-    rows = no_clash(docs, "doc_id", "text")
-    return predict(rows.withColumn("held_out", held_out(rows)), samples).select("doc_id", "held_out", "lang_pred", "score")
+    models = docs.sparkSession.sparkContext.broadcast(learn(docs.where(~held_out(docs))))
+
+    def work(ids: list, texts: list) -> dict:
+        langs, scores = classify(texts, models.value)
+        return {"doc_id": ids, "lang_pred": langs, "score": scores}
+
+    out = by_batch(no_clash(docs, "doc_id", "text"), ["doc_id", "text"], work, "doc_id long, lang_pred string, score double")
+    return out.select("doc_id", held_out(out).alias("held_out"), "lang_pred", "score")
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """docs without those whose language can't be told."""
-    samples = learn(docs.where(~held_out(docs)))
-    return predict(docs, samples).where(F.col("lang_pred") != UND).select(*(F.col(f"`{c}`") for c in docs.columns))
+    models = docs.sparkSession.sparkContext.broadcast(learn(docs.where(~held_out(docs))))
+
+    def change(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
+        return batch.filter(pa.array([x != UND for x in classify(texts, models.value)[0]]))
+
+    return by_whole_rows(docs, change)
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 Beside the patterns, a candidate is a run of 20 or more characters of [A-Za-z0-9+/_=-] that holds a digit and a letter.
 A window of WINDOW characters slides over it; the Shannon entropy of the window's characters is kept up to date from the
-counts of the one that enters and the one that leaves. Windows at or over the bound of the candidate's character class
-(hex, lower or upper case with digits, or mixed) mark a span of kind `entropy`. The allow-list suppresses spans that are
-no secrets: addresses, UUIDs, example keys, and runs made of ordinary words and numbers.
+counts of the one that leaves and the one that enters. Windows at or over the bound of the candidate's character class
+(hex, lower or upper case with digits, or mixed) are busy, unless they touch what the allow-list knows: UUIDs and
+stand-ins such as `example`. Merged busy windows lose the plain words (of a path, a slug) at either end; what is left
+makes a span of kind `entropy` if a busy window lies in it. So a word in a run never hides a key beside it.
 
-Nulls count as empty: no spans. Repeated rows each get their row; extra columns are ignored.
+Nulls count as empty: no spans. Each text is scanned once from left to right, so long runs of one character cost no more
+than other text. Repeated rows each get their row; extra columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -15,10 +17,10 @@ import hashlib
 import math
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import by_batch, documents
+from .common import by_batch, by_whole_rows, documents, no_clash
 
 KINDS = ("assign", "access", "hex", "entropy")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
@@ -30,11 +32,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Bits a character at which a window counts, by class.
 BOUNDS = {"hex": 2.9, "one_case": 3.4, "mixed": 3.7}
-ALLOWED = [re.compile(x) for x in (
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
-    r".*EXAMPLE|.*[Ee]xample|.*[Pp]laceholder|.*[xX]{6}",  # stand-ins
-    r"(/?[A-Za-z]*[0-9]{0,4}[-_/=+]+)*/?[A-Za-z]*[0-9]{0,4}$",  # words and small numbers with separators: paths, slugs
-)]
+#: The allow-list: UUIDs and stand-ins.
+ALLOWED = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|EXAMPLE|[Ee]xample|[Pp]laceholder|[xX]{6,}")
+PART = re.compile(r"[^-_/=+]+")
+HUMP = re.compile(r"[A-Z]+[a-z]*+|[a-z]+")
 BITS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -45,20 +46,26 @@ def char_class(s: str) -> str:
 
 
 def busy_windows(s: str, bound: float) -> list[tuple[int, int]]:
-    """Merged windows of s whose entropy is at or over the bound."""
+    """Merged windows of s whose entropy is at or over the bound and that touch nothing of the allow-list."""
     count: dict[str, int] = {}
     total, spans = 0.0, []
+    allowed, free = ALLOWED.finditer(s), 0
+    nxt = next(allowed, None)
     for i, c in enumerate(s):
-        k = count.get(c, 0)
-        total += BITS[k + 1] - BITS[k]
-        count[c] = k + 1
         if i >= WINDOW:
             old = s[i - WINDOW]
             k = count[old]
             total += BITS[k - 1] - BITS[k]
             count[old] = k - 1
-        if i >= WINDOW - 1 and math.log2(WINDOW) - total / WINDOW >= bound - 1e-9:
-            lo = i - WINDOW + 1
+        k = count.get(c, 0)
+        total += BITS[k + 1] - BITS[k]
+        count[c] = k + 1
+        if nxt is not None and i >= nxt.start():
+            free = nxt.end()
+            if i + 1 >= free:
+                nxt = next(allowed, None)
+        lo = i - WINDOW + 1
+        if lo >= free and math.log2(WINDOW) - total / WINDOW >= bound - 1e-9:
             if spans and lo <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], i + 1)
             else:
@@ -66,6 +73,23 @@ def busy_windows(s: str, bound: float) -> list[tuple[int, int]]:
     return spans
 
 
+def is_plain(part: str) -> bool:
+    """A short part, or words of three letters or more on average with a small number behind them."""
+    letters = part.rstrip("0123456789")
+    if len(part) <= 4:
+        return True
+    return len(part) - len(letters) <= 4 and letters.isalpha() and len(letters) >= 3 * len(HUMP.findall(letters))
+
+
+def core(s: str) -> tuple[int, int]:
+    """s without plain parts at either end."""
+    lo, hi = len(s), 0
+    for m in PART.finditer(s):
+        if not is_plain(m[0]):
+            lo, hi = min(lo, m.start()), m.end()
+    return lo, hi
+
+
 def find(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind number, end), sorted."""
     if not text:
@@ -76,13 +100,21 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(found)
+    nth, reach = 0, 0
     for m in CANDIDATE.finditer(text):
         s = m[0]
-        if not re.search("[0-9]", s) or not re.search("[A-Za-z]", s) or any(a.match(s) for a in ALLOWED):
+        if not re.search("[0-9]", s) or not re.search("[A-Za-z]", s):
             continue
-        for lo, hi in busy_windows(s, BOUNDS[char_class(s)]):
-            a, b = m.start() + lo, m.start() + hi
-            if not any(x <= a and b <= y for x, _, y in base):
+        bound = BOUNDS[char_class(s)]
+        for lo, hi in busy_windows(s, bound):
+            a, b = core(s[lo:hi])
+            if b - a < WINDOW or (b - a < hi - lo and not busy_windows(s[lo + a : lo + b], bound)):
+                continue
+            a, b = m.start() + lo + a, m.start() + lo + b
+            while nth < len(base) and base[nth][0] <= a:
+                reach = max(reach, base[nth][2])
+                nth += 1
+            if b > reach:
                 found.append((a, 3, b))
     return sorted(found)
 
@@ -114,22 +146,23 @@ def scan(docs: DataFrame) -> DataFrame:
             out["spans"].append(joined(spans))
         return out
 
-    return by_batch(docs, ["doc_id", "text"], work, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
+    return by_batch(no_clash(docs, "doc_id", "text"), ["doc_id", "text"], work, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with secrets in text replaced by a mark, and n_chars, where there is one, brought up to date."""
-    columns = [f.name for f in docs.schema if f.name != "text"]
-
-    def work(*cols: list) -> dict:
-        texts = [t if t is None else redacted(t, find(t), mark) for t in cols[-1]]
-        return dict(zip(columns, cols, strict=False)) | {"text": texts}
-
-    rest = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    out = by_batch(docs, [*(f"`{c}`" for c in columns), "text"], work, f"{rest}, text string" if rest else "text string")
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """docs with secrets in text replaced by a mark, and n_chars, where there is one, brought up to date. A null text stays null."""
+    at, counted = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def change(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
+        clean = [t if t is None else redacted(t, find(t), mark) for t in texts]
+        out = batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))
+        if counted is not None:
+            kind = batch.schema.field(counted).type
+            sizes = [n if t is None else len(t) for t, n in zip(clean, batch.column(counted).to_pylist(), strict=True)]
+            out = out.set_column(counted, batch.schema.field(counted), pa.array(sizes).cast(kind))
+        return out
+
+    return by_whole_rows(docs, change)
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

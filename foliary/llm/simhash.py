@@ -4,17 +4,17 @@ Words are runs of non-space after lower-casing A-Z; the fingerprint of a text is
 (seed 42) of its 3-word shingles. Fingerprints link when 2 bits or fewer differ.
 
 Pivot tables: let d(x, p) be the Hamming distance of a fingerprint to a reference p. By the triangle inequality
-|d(x, p) - d(y, p)| <= d(x, y), so a pair is discarded when its largest coordinate difference is over 2, and only
-survivors are compared. Two families of references are used:
+|d(x, p) - d(y, p)| <= d(x, y), so a pair whose largest coordinate difference is over 2 can't link.
 
-- for each block of 16 bits, a reference and its 16 one-bit flips. Coordinate differences within the family say what
-  the block's bits are. 2 differing bits leave two of the four blocks alone, so a linked pair has all coordinate
-  differences of two families equal. Those make the six keys by which candidates meet: read off the bits, as the
-  distances would only spell them out.
-- PIVOTS pseudo-random references, whose table prunes the pairs that met.
+1. Candidates. Bits that differ lie in two bytes at most. For each of the 28 pairs of bytes a table is computed that
+   leaves these two out, of fingerprints and references alike: its distances to PIVOTS references are the coordinates of a
+   cell. A linked pair has the same coordinates, so the same cell, in the table that leaves its differing bytes out.
+2. Pruning. A cell's members are sorted by their whole distance to the first reference; only those at most 2 apart meet,
+   and pairs whose largest difference over all references is over 2 are discarded.
+3. Survivors are verified. What links gives a spanning forest of the cell, not all pairs.
 
-A key that more than CAP distinct fingerprints share is dealt anew by 48 fixed bits; such a group has at most 65,536
-possible members, and links are looked up in a table of the 16 free bits. Groups give a spanning forest, not all pairs.
+Fingerprints of a cell differ in two bytes, so there are 65,536 at most (coordinates tell unlike rests apart but for rare
+coincidence, which pruning and verification undo): no cell grows with the corpus, and there is one path for all sizes.
 
 Nulls and texts without words have fingerprint zero and link like any other. Repeated rows each get their row. Extra
 columns are ignored; an empty table gives an empty result.
@@ -23,20 +23,23 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, documents, no_clash, stored
+from .common import by_batch, documents, no_clash, spread_join, stored, without
 from .components import components
 
-BITS, PIVOTS, CAP = 2, 24, 4096
+BITS, PIVOTS = 2, 24
 SHINGLE, SEED = 3, 42
 REFERENCES = np.random.default_rng(7).integers(0, 2**64, PIVOTS, dtype=np.uint64)
-#: Masks of one or two of 16 bits.
-NEAR16 = np.array([sum(1 << i for i in c) for k in (1, 2) for c in itertools.combinations(range(16), k)])
+#: All but two bytes, for each pair of bytes; and odd numbers that turn a cell's coordinates into one key.
+MASKS = np.array([~((0xFF << 8 * a) | (0xFF << 8 * b)) & (1 << 64) - 1 for a, b in itertools.combinations(range(8), 2)], np.uint64)
+TURNS = np.random.default_rng(8).integers(0, 2**63, PIVOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fingerprint(text: str | None) -> int:
@@ -97,133 +100,89 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def group_links(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of the fingerprints of one group, row block by row block."""
-    table, n, found = distances(x), len(x), []
-    step = max(1, (1 << 17) // n)
-    for lo in range(0, n, step):
-        i, j = np.meshgrid(np.arange(lo, min(n, lo + step)), np.arange(n), indexing="ij")
-        i, j = i[i < j], j[i < j]
+def cell_links(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of the fingerprints of one cell."""
+    table = distances(x)
+    order = np.argsort(table[:, 0], kind="stable")
+    x, table = x[order], table[order]
+    reach = np.searchsorted(table[:, 0], table[:, 0] + BITS, side="right")
+    found = []
+    lo = 0
+    while lo < len(x):
+        # Rows by the block, so that some 100,000 pairs are looked at at once.
+        hi = min(len(x), lo + max(1, (1 << 17) // int(reach[lo] - lo + 1)))
+        n = reach[lo:hi] - np.arange(lo, hi) - 1
+        i = np.repeat(np.arange(lo, hi), n)
+        j = i + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = survivors(x, table, i, j)
         found.append((i[at], j[at]))
+        lo = hi
     i, j = (np.concatenate(c) for c in zip(*found, strict=True))
-    label = forest(n, i, j)
-    at = np.flatnonzero(label != np.arange(n))
+    label = forest(len(x), i, j)
+    at = np.flatnonzero(label != np.arange(len(x)))
     return x[at], x[label[at]]
 
 
-def free_links(low: np.ndarray) -> np.ndarray:
-    """For members given by 16 free bits each: the smallest member that each reaches."""
-    label = np.full(1 << 16, 1 << 16, np.int64)
-    label[low] = low
-    while True:
-        was = label[low].copy()
-        for m in NEAR16:
-            label[low] = np.minimum(label[low], label[low ^ m])
-        label[low] = label[label[low]]
-        if (label[low] == was).all():
-            return was
-
-
-def block_keys(fp, width: int, blocks: list[int], fixed: int) -> list:  # noqa: ANN001
-    """Columns: for each pair of blocks (of width bits, by their shifts), the bits of that pair and of the mask `fixed`."""
-    mask = (1 << width) - 1
-    keys = []
-    for k, (a, b) in enumerate(itertools.combinations(blocks, 2)):
-        kept = (mask << a) | (mask << b) | fixed
-        keys.append(F.struct(F.lit(k).alias("kind"), fp.bitwiseAND(F.lit(signed(kept))).alias("bits"), F.lit(signed(kept)).alias("kept")))
+def cell_keys(x: np.ndarray) -> np.ndarray:
+    """A key for each fingerprint (row) and mask (column): the cell's coordinates, as one number."""
+    rest = x[:, None] & MASKS
+    keys = np.broadcast_to(np.arange(len(MASKS), dtype=np.uint64), rest.shape).copy()
+    for p, turn in zip(REFERENCES, TURNS, strict=True):
+        keys += np.bitwise_count(rest ^ (p & MASKS)).astype(np.uint64) * turn
     return keys
 
 
 def edges(distinct: DataFrame) -> DataFrame:
     """distinct (fp long) -> a long, b long: links that keep linked fingerprints connected."""
-    fp = F.col("fp")
-    keyed = stored(distinct.select("fp", F.explode(F.array(*block_keys(fp, 16, [0, 16, 32, 48], 0))).alias("key")).select("fp", F.col("key.kind"), F.col("key.bits"), F.col("key.kept")))
-    size = keyed.groupBy("kind", "bits").agg(F.count("*").alias("m")).where("m > 1")
-    met = keyed.join(size, ["kind", "bits"])
-    lists = met.where(F.col("m") <= CAP).groupBy("kind", "bits").agg(F.collect_list("fp").alias("fps")).select("fps")
 
-    def pair_up(batches):  # noqa: ANN001, ANN202
-        import pyarrow as pa
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell_keys(x).ravel().view(np.int64)), pa.array(np.repeat(x, len(MASKS)).view(np.int64))], names=["cell", "fp"])
 
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            groups: list = [np.sort(np.asarray(x, np.int64).view(np.uint64)) for x in (g.values.to_numpy(zero_copy_only=False) for g in b.column(0))]
-            a, c = [], []
-            pairs = [g for g in groups if len(g) == 2]
-            if pairs:
-                x = np.concatenate(pairs)
-                i = np.arange(0, len(x), 2)
-                at = survivors(x, distances(x), i, i + 1)
-                a.append(x[i[at] + 1])
-                c.append(x[i[at]])
-            for g in groups:
-                if len(g) > 2:
-                    u, v = group_links(g)
-                    a.append(u)
-                    c.append(v)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a).view(np.int64)), pa.array(np.concatenate(c).view(np.int64))], names=["a", "b"])
-
-    few = lists.mapInArrow(pair_up, "a long, b long")
-    hot = met.where(F.col("m") > CAP).select("fp", "kind")
-    return few.unionByName(hot_edges(hot))
-
-
-def hot_edges(hot: DataFrame) -> DataFrame:
-    """Links within keys that too many share: two of the four bytes that are still free are fixed too."""
-    kinds = list(itertools.combinations([0, 16, 32, 48], 2))
-    subs = []
-    for k, (a, b) in enumerate(kinds):
-        fixed = (0xFFFF << a) | (0xFFFF << b)
-        free = [s + h for s in (0, 16, 32, 48) if s not in (a, b) for h in (0, 8)]
-        subs.append((k, block_keys(F.col("fp"), 8, free, fixed)))
-    keys = None
-    for k, cols in subs:
-        keys = F.when(F.col("kind") == k, F.array(*cols)).otherwise(keys) if k else F.array(*cols)
-    rows = hot.select("fp", F.explode(keys).alias("key")).select("fp", F.col("key.bits").alias("bits"), F.col("key.kept").alias("kept")).distinct()
-
-    def link(key, rows):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        x = rows["fp"].to_numpy(np.int64).view(np.uint64)
-        free = ~np.array([key[1]], np.int64).view(np.uint64)[0]
-        places = [i for i in range(64) if int(free) >> i & 1]
-        low = np.zeros(len(x), np.int64)
-        for n, i in enumerate(places):
-            low |= ((x >> np.uint64(i)) & np.uint64(1)).astype(np.int64) << n
-        root = free_links(low)
-        whole = np.full(1 << 16, 0, np.uint64)
-        whole[low] = x
-        at = np.flatnonzero(root != low)
-        return pd.DataFrame({"a": x[at].view(np.int64), "b": whole[root[at]].view(np.int64)})
-
-    return rows.groupBy("bits", "kept").applyInPandas(link, "a long, b long")
+            cells = [np.sort(np.asarray(c, np.int64)).view(np.uint64) for c in (g.values.to_numpy(zero_copy_only=False) for g in b.column(0))]
+            pairs = np.array([c for c in cells if len(c) == 2], np.uint64).reshape(-1, 2)
+            at = survivors(pairs.ravel(), distances(pairs.ravel()), 2 * np.arange(len(pairs)), 2 * np.arange(len(pairs)) + 1)
+            found = [(pairs[at, 1], pairs[at, 0]), *(cell_links(c) for c in cells if len(c) > 2)]
+            u, v = (np.concatenate(c).view(np.int64) for c in zip(*found, strict=True))
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["a", "b"])
+
+    cells = distinct.select("fp").mapInArrow(put, "cell long, fp long")
+    met = cells.groupBy("cell").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    return met.select("fps").mapInArrow(link, "a long, b long")
 
 
 def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows: doc_id, th, fp, n; classes: fp, root, first: the least doc_id and text hash of the class)."""
+    """(rows: doc_id, th, fp, n; classes: fp, root, size: rows of fp, first: the least doc_id and text hash of the class)."""
     rows = stored(fingerprints(docs).groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n")))
-    firsts = stored(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first")))
-    roots = components(edges(firsts.select("fp")))
-    mine = stored(firsts.join(roots, firsts.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"))
+    return rows, classes_of(rows, lambda firsts: components(edges(firsts.select("fp"))))
+
+
+def classes_of(rows: DataFrame, roots_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Classes of rows (as of near_classes) by what roots_of gives for their distinct fp: node, root of those that link."""
+    firsts = stored(rows.groupBy("fp").agg(F.count("*").alias("size"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first")))
+    roots = roots_of(firsts)
+    mine = stored(firsts.join(roots, firsts.fp == roots.node, "left").select("fp", "size", F.coalesce("root", "fp").alias("root"), "first"))
     tops = mine.groupBy("root").agg(F.min("first").alias("first"))
-    return rows, mine.select("fp", "root").join(tops, "root")
+    return stored(mine.select("fp", "size", "root").join(tops, "root"))
 
 
 def simhash_classes(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id for each row of docs."""
-    rows, classes = near_classes(docs)
-    out = rows.join(classes, "fp").withColumn("_", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    out = spread_join(*near_classes(docs), ["fp"], "size").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of each class (of near_classes, or of the same form) the row with the smallest id, with all its columns."""
-    tops = classes.select(F.col("first.doc_id").alias("_top"), F.col("first.th").alias("_hash")).distinct()
-    stay = rows.join(tops, rows.doc_id.eqNullSafe(tops._top) & (rows.th == tops._hash), "left_semi").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("n").alias("_n"))
-    met = docs.withColumn("_own", F.xxhash64("text")).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")))
-    once = met.where("_n = 1").unionByName(met.where("_n > 1").dropDuplicates(["_id", "_th"]))
-    return once.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """Of each class (of near_classes, or of the same form) the row with the smallest id, with all its columns.
+
+    Rows of one id and text count as one. Of unlike texts with one id and in one class the one with the smaller hash stays.
+    """
+    top = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th").eqNullSafe(F.col("first"))
+    return without(docs, spread_join(rows, classes, ["fp"], "size").where(~top | (F.col("n") > 1)).select("doc_id", "th", top.cast("int").alias("extra")))
 
 
 def keep_first_near(docs: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ nowhere else; each run is streamed through one shard only, however many there ar
    the least owner of the rows of a matching interval says whether the window begins in a smaller document too.
 5. Removed words are the union of covered windows, judged on the input.
 
-Keys that over HOT documents share are cut to single windows, whose key is their own hash: equal contents, which
-aggregation brings together, so that no shard grows with a common line.
+A shard holds about SHARD_WORDS words. The runs of a key go whole to its shard; where all that documents hold of a key
+would pass SHARD_WORDS, its runs go window by window, each to the shard of its own hash. So no shard grows with a common
+line or a word that is said over and over, and every result comes out of a shard's index.
 
 Nulls: a null text has no words; a null id counts as larger than any other. Rows with the same id are not smaller than
 each other; repeated rows each get their row. Extra columns are ignored.
@@ -27,11 +28,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, documents, no_clash, stored
+from .common import by_batch, documents, no_clash, spread_join, stored
 from .fmindex import FmIndex
 from .windows import gram_hashes, runs, words
 
-WINDOW, GRAM, HOT, SHARD_WORDS = 13, 5, 50_000, 600_000
+WINDOW, GRAM, SHARD_WORDS = 13, 5, 600_000
 LAST = (1 << 63) - 1
 _SPACES = bytes(32 if 9 <= b <= 13 else b for b in range(256))
 
@@ -47,34 +48,35 @@ def sha(b: bytes) -> str:
 
 
 def surveyed(rows: DataFrame) -> DataFrame:
-    """did, th, sha, n_words, keys (the document's distinct minimizers) of rows with did, th, text."""
+    """did, th, sha, n_words, keys (the document's distinct minimizers), held (words of each key's runs) of rows with did, th, text."""
 
     def work(dids: list, hashes: list, texts: list) -> dict:
         flat = [plain(t) for t in texts]
         w = words(flat)
         r = runs(w, WINDOW, GRAM)
         order = np.lexsort((r.key, r.text))
-        key, text = r.key[order], r.text[order]
+        key, text, size = r.key[order], r.text[order], r.count[order] + (WINDOW - 1)
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+        held = np.add.reduceat(size, np.flatnonzero(new)) if len(size) else size
         key, text = key[new], text[new]
         cut = np.searchsorted(text, np.arange(len(flat) + 1))
         return {
             "did": dids, "th": hashes, "sha": [sha(b) for b in flat], "n_words": np.bincount(w.text, minlength=len(flat)),
-            "keys": [key[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)],
+            "keys": [key[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], "held": [held[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)],
         }
 
-    return by_batch(rows, ["did", "th", "text"], work, "did long, th long, sha string, n_words long, keys array<long>", 1_000_000)
+    return by_batch(rows, ["did", "th", "text"], work, "did long, th long, sha string, n_words long, keys array<long>, held array<long>", 1_000_000)
 
 
 def shared_keys(survey: DataFrame) -> DataFrame:
-    """did, th, cold, hot: of documents that own their words, the keys that other documents have too."""
+    """did, th, cold, hot: of documents that own their words, the keys that other documents have too, by how their runs go to shards."""
     owners = survey.groupBy("sha").agg(F.min("did").alias("did"))
-    each = survey.join(owners, ["sha", "did"], "left_semi").select("did", "th", F.explode("keys").alias("key"))
-    counts = each.groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1")
-    met = each.join(counts, "key")
-    hot = F.col("docs") > HOT
-    return met.groupBy("did", "th").agg(F.collect_list(F.when(~hot, F.col("key"))).alias("cold"), F.collect_list(F.when(hot, F.col("key"))).alias("hot"))
+    each = survey.join(owners, ["sha", "did"], "left_semi").select("did", "th", F.explode(F.arrays_zip("keys", "held")).alias("k")).select("did", "th", F.col("k.keys").alias("key"), F.col("k.held").alias("held"))
+    counts = each.groupBy("key").agg(F.count("*").alias("docs"), F.sum("held").alias("held")).where("docs > 1").select("key", (F.col("held") > SHARD_WORDS).alias("wide"))
+    met = each.select("did", "th", "key").join(counts, "key")
+    wide = F.col("wide")
+    return met.groupBy("did", "th").agg(F.collect_list(F.when(~wide, F.col("key"))).alias("cold"), F.collect_list(F.when(wide, F.col("key"))).alias("hot"))
 
 
 def shared_runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -130,7 +132,7 @@ def shard_intervals(shard: pd.DataFrame) -> pd.DataFrame:
     lo, hi = lo - (np.cumsum(sizes) - sizes)[text], hi - (np.cumsum(sizes) - sizes)[text]
     cut = np.searchsorted(text, np.arange(len(shard) + 1))
     return pd.DataFrame({
-        "key": shard["key"], "content": shard["content"], "owner": shard["owner"],
+        "key": shard["key"], "content": shard["content"], "owner": shard["owner"], "holders": shard["holders"],
         "los": [lo[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)], "his": [hi[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)],
     })
 
@@ -140,10 +142,10 @@ def covered_words(found: DataFrame) -> DataFrame:
     contents = stored(found.groupBy("key", "content").agg(F.min("did").alias("owner"), F.count("*").alias("holders")))
     total = contents.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(1, total // (6 * SHARD_WORDS) + 1)
-    dealt = contents.select("key", "content", "owner", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
-    schema = "key long, content binary, owner long, los array<int>, his array<int>"
-    judged = dealt.groupBy("shard").applyInPandas(lambda rows: shard_intervals(rows), schema).select("key", F.xxhash64("content").alias("ck"), "owner", "los", "his")
-    mine = found.select("did", "th", "first", "count", "key", F.xxhash64("content").alias("ck")).join(judged, ["key", "ck"])
+    dealt = contents.select("key", "content", "owner", "holders", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
+    schema = "key long, content binary, owner long, holders long, los array<int>, his array<int>"
+    judged = dealt.groupBy("shard").applyInPandas(lambda rows: shard_intervals(rows), schema).select("key", F.xxhash64("content").alias("ck"), "owner", "holders", "los", "his")
+    mine = spread_join(found.select("did", "th", "first", "count", "key", F.xxhash64("content").alias("ck")), stored(judged), ["key", "ck"], "holders")
     own = F.transform(F.arrays_zip("los", "his"), lambda s: F.struct((F.col("first") + s.los).alias("lo"), (F.col("first") + s.his + (WINDOW - 1)).alias("hi")))
     every = F.array(F.struct(F.col("first").alias("lo"), (F.col("first") + F.col("count") + (WINDOW - 1)).alias("hi")))
     spans = mine.select("did", "th", F.explode(F.when(F.col("did") > F.col("owner"), every).otherwise(own)).alias("span"))
@@ -182,8 +184,8 @@ def substring_dedup(docs: DataFrame, keep: bool = False) -> DataFrame:
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep
     met = rows.join(spans, ["did", "th"]).select("doc_id", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"), "text")
     changed = by_batch(met, ["doc_id", "lo", "hi", "text"], cut, schema)
-    owners = survey.groupBy("sha").agg(F.min("did").alias("top"))
-    rest = survey.drop("keys").join(spans.select("did", "th"), ["did", "th"], "left_anti").join(owners, "sha")
+    owners = stored(survey.groupBy("sha").agg(F.min("did").alias("top"), F.count("*").alias("copies")))
+    rest = spread_join(survey.drop("keys", "held").join(spans.select("did", "th"), ["did", "th"], "left_anti"), owners, ["sha"], "copies")
     copy = (F.col("did") > F.col("top")) & (F.col("n_words") >= WINDOW)
     same = rest.select(
         F.when(F.col("did") != LAST, F.col("did")).alias("doc_id"), "n_words", F.when(copy, F.col("n_words")).otherwise(0).alias("n_removed"), F.when(copy, F.lit(sha(b""))).otherwise(F.col("sha")).alias("kept_sha256"), *(["did", "th", copy.alias("copy")] if keep else [])

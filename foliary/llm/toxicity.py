@@ -1,9 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Tokens are classed as insult, threat, target, negation, reported speech, clause end or other. Small transducers follow
-each of negation, report and target; their composition is one table from (state, class) to (state, factor). An insult
-adds its weight times the factor of the state it is met in: less behind a negation or in reported speech, more beside a
-target; a threat counts once a target is near. Clauses are scored, not words alone.
+Tokens are classed as insult, threat, target, negation, reported speech, clause end or other; forms of several tokens
+("according to", the "n't" of a contraction) become one by a small transducer. Transducers follow each of negation,
+target, threat and report; their composition is one table from (state, class) to (state, factor). An insult adds its
+weight times the factor of the state it is met in: less behind a negation or in reported speech, more beside a target; a
+threat counts once a target is near. A clause is run from its first token to its last, however long it is. Clauses are
+scored, not words alone.
 
 Insults are learned: words and word beginnings that are much likelier in toxic documents, counted once for each group of
 near-copies (documents with the same least word hash). Clause scores of a document become a few features, which a logistic
@@ -25,6 +27,7 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +35,47 @@ from .common import by_batch, documents, id_crc, labels, no_clash, stored
 
 FIT_ROWS, LEXICON, MIN_GROUPS, MIN_LIFT, BEGINNINGS = 6000, 1500, 3, 4.0, range(4, 9)
 
-# Closed word classes of the grammar in English, French, German and Spanish.
-NEGATION = frozenset("not never neither nor pas jamais nicht kein keine nie nunca tampoco".split())
-REPORT = frozenset("said says wrote quoted claimed called dit disait écrit sagte schrieb meinte dijo escribió llamó".split())
-TARGET = frozenset("you your yours he she they him her them tu toi vous ton ta du dich dir ihr euch usted ustedes tú ti".split())
-THREAT = frozenset("kill hurt destroy beat shoot stab burn tuer frapper brûler töten schlagen verbrennen matar golpear quemar".split())
+#: The token that stands for the n't of a contraction.
+NOT = "\u0174t"
 
-TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
-OTHER, INSULT, THREATENS, TARGETS, NEGATES, REPORTS, ENDS = range(7)
+# Closed word classes of the grammar in English, French, German and Spanish; then forms of several tokens.
+NEGATION = frozenset(f"{NOT} not no never neither nor none without cannot pas jamais aucun aucune ni sans rien nicht kein keine keinen keiner nie niemals ohne weder nunca tampoco ningún ninguna jamás sin".split())
+REPORT = frozenset("said says say wrote writes quoted quotes claimed claims called calls alleged allegedly reportedly dit disait écrit selon prétend sagte sagt schrieb meinte laut angeblich dijo dice escribió llamó según".split())
+TARGET = frozenset("you your yours he she they him her them tu toi vous ton ta votre du dich dir dein ihr euch usted ustedes tú ti tus".split())
+THREAT = frozenset("kill hurt destroy beat shoot stab burn tuer frapper brûler töten schlagen verbrennen matar golpear quemar".split())
+FORMS = {
+    ("according", "to"): "said", ("so", "called"): "said", ("in", "the", "words", "of"): "said", ("a", "dit"): "said", ("soi", "disant"): "said", ("so", "genannt"): "said", ("de", "acuerdo", "con"): "said",
+    ("far", "from"): "not", ("by", "no", "means"): "not", ("anything", "but"): "not", ("loin", "de"): "not", ("alles", "andere", "als"): "not", ("lejos", "de"): "not",
+}
+FORM_STARTS = frozenset(f[0] for f in FORMS)
+
+TOKEN = regex.compile(r"(?<=n)['’]t(?!\p{L})|\p{L}+|[.!?;:\n]")
+OTHER, INSULT, THREATENS, TARGETS, NEGATES, REPORTS, ENDS, OPENS = range(8)
 REACH = 3
 
+#: For texts of one byte a character: letters stay, clause ends become full stops, all else a space.
+_PLAIN = bytes(b if chr(b).isalpha() else 46 if chr(b) in ".!?;:\n" else b if b == 1 else 32 for b in range(256))
+
+
+def plain_tokens(low: str) -> list[str]:
+    """Tokens of a text in lower case."""
+    return [NOT if t[0] in "'’" else "." if t in "!?;:\n" else t for t in TOKEN.findall(low)]
+
+
+def tokens_of(text: str | None) -> list[str]:
+    """Words in lower case, clause ends as one token each."""
+    low = (text or "").lower()
+    try:
+        raw = low.encode("latin-1")
+    except UnicodeEncodeError:
+        return plain_tokens(low)
+    if b"n't" in raw:
+        raw = re.sub(rb"(?<=n)'t(?![a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff])", b" \x01t ", raw.replace(b"\x01", b" "))
+    else:
+        raw = raw.replace(b"\x01", b" ")
+    out = raw.translate(_PLAIN).replace(b".", b" . ").decode("latin-1").split()
+    return [NOT if t == "\x01t" else t for t in out] if b"\x01" in raw else out
+
 
 def follow(left: int, cls: int, what: int) -> int:
     """A transducer that remembers a class for REACH tokens of the clause."""
@@ -53,55 +87,50 @@ def within(on: int, cls: int, what: int) -> int:
     return 0 if cls == ENDS else 1 if cls == what else on
 
 
-def composed() -> dict[tuple[tuple[int, int, int, int], int], tuple[tuple[int, int, int, int], float]]:
-    """(state, class) -> (state, factor) of negation, target and threat reach and report together."""
-    out = {}
-    for n, t, h, r in itertools.product(range(REACH + 1), range(REACH + 1), range(REACH + 1), range(2)):
-        for cls in range(7):
-            nxt = (follow(n, cls, NEGATES), follow(t, cls, TARGETS), follow(h, cls, THREATENS), within(r, cls, REPORTS))
-            factor = (0.4 if n else 1.0) * (0.6 if r else 1.0)
-            if cls == INSULT:
-                factor *= 1.3 if t or h else 1.0
-            elif cls == TARGETS:
-                factor *= 1.0 if h else 0.0
-            elif cls == THREATENS:
-                factor *= 1.0 if t else 0.0
-            else:
-                factor = 0.0
-            out[(n, t, h, r), cls] = (nxt, factor)
-    return out
-
-
-GRAMMAR = composed()
-START = (0, 0, 0, 0)
+def composed() -> tuple[list[tuple[int, ...]], list[tuple[float, ...]]]:
+    """By state: next state and factor by class, of negation, target and threat reach and report together. State 0 is the start."""
+    states = list(itertools.product(range(REACH + 1), range(REACH + 1), range(REACH + 1), range(2)))
+    number = {s: i for i, s in enumerate(states)}
+    steps, factors = [], []
+    for n, t, h, r in states:
+        weaker = (0.4 if n else 1.0) * (0.6 if r else 1.0)
+        own = {INSULT: 1.3 if t or h else 1.0, TARGETS: 1.0 if h else 0.0, THREATENS: 1.0 if t else 0.0}
+        steps.append(tuple(number[follow(n, c, NEGATES), follow(t, c, TARGETS), follow(h, c, THREATENS), within(r, c, REPORTS)] for c in range(OPENS)))
+        factors.append(tuple(weaker * own.get(c, 0.0) for c in range(OPENS)))
+    return steps, factors
+
+
+STEPS, FACTORS = composed()
 THREAT_WEIGHT = 2.0
 
 
 class Classes(dict):
-    """Class and weight by word, remembered up to a bound; None for words of no class."""
+    """Class by word, remembered up to a bound."""
 
     def __init__(self, lexicon: dict[str, float]) -> None:
         super().__init__()
         self.lexicon = lexicon
-        #: What a word must begin with to be an insult or a threat.
-        self.starts = frozenset(k[: BEGINNINGS[0]] for k in (*lexicon, *THREAT))
+        #: What a word must begin with to be an insult.
+        self.starts = frozenset(k[: BEGINNINGS[0]] for k in lexicon)
 
-    def __missing__(self, w: str) -> tuple[int, float] | None:
-        found = max((self.lexicon.get(k, 0.0) for k in stems(w)), default=0.0) if w[: BEGINNINGS[0]] in self.starts else 0.0
-        if found:
-            out: tuple[int, float] | None = (INSULT, found)
+    def weight(self, w: str) -> float:
+        return max((self.lexicon.get(k, 0.0) for k in stems(w)), default=0.0) if w[: BEGINNINGS[0]] in self.starts else 0.0
+
+    def __missing__(self, w: str) -> int:
+        if w == ".":
+            out = ENDS
+        elif self.weight(w):
+            out = INSULT
         elif w in THREAT:
-            out = (THREATENS, THREAT_WEIGHT)
+            out = THREATENS
         elif w in TARGET:
-            out = (TARGETS, THREAT_WEIGHT)
+            out = TARGETS
         elif w in NEGATION:
-            out = (NEGATES, 0.0)
+            out = NEGATES
         elif w in REPORT:
-            out = (REPORTS, 0.0)
-        elif w in ".!?;:\n":
-            out = (ENDS, 0.0)
+            out = REPORTS
         else:
-            out = None
+            out = OPENS if w in FORM_STARTS else OTHER
         if len(self) > 300_000:
             self.clear()
         self[w] = out
@@ -113,32 +142,41 @@ def stems(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) >= k)]
 
 
+def clause_score(tokens: list[str], codes: bytes, classes: Classes) -> float:
+    """The composed transducer over one clause."""
+    state, score, skip = 0, 0.0, 0
+    for i, c in enumerate(codes):
+        if skip:
+            skip -= 1
+            continue
+        if c == OPENS:
+            c = OTHER
+            for f, as_word in FORMS.items():
+                if tuple(tokens[i : i + len(f)]) == f:
+                    c, skip = (REPORTS if as_word in REPORT else NEGATES), len(f) - 1
+                    break
+        factor = FACTORS[state][c]
+        if factor:
+            score += factor * (classes.weight(tokens[i]) if c == INSULT else THREAT_WEIGHT)
+        state = STEPS[state][c]
+    return score
+
+
 def features(text: str | None, classes: Classes) -> list[float]:
     """Features of a text from its scored clauses."""
-    tokens = TOKEN.findall((text or "").lower())
-    starts, n_start = classes.starts, BEGINNINGS[0]
-    # Most words can be neither insult nor threat by their first letters; the rest are looked up near those only.
-    at = [i for i, w in enumerate(tokens) if w[:n_start] in starts and (g := classes[w]) is not None and g[0] in (INSULT, THREATENS)]
+    tokens = tokens_of(text)
+    codes = bytes(map(classes.__getitem__, tokens))
+    cls = np.frombuffer(codes, np.uint8)
+    at = np.flatnonzero((cls == INSULT) | (cls == THREATENS))
     clauses: list[float] = []
-    kinds = {tokens[i] for i in at}
-    done = -1
-    for i in at:
-        if i <= done:
-            continue
-        lo = i
-        while lo > done + 1 and lo > i - 64 and classes[tokens[lo - 1]] != (ENDS, 0.0):
-            lo -= 1
-        state, score = START, 0.0
-        while lo < len(tokens):
-            g = classes[tokens[lo]] or (OTHER, 0.0)
-            state, factor = GRAMMAR[state, g[0]]
-            score += factor * g[1]
-            if g[0] == ENDS:
-                break
-            lo += 1
-        done = lo
-        if score > 0:
-            clauses.append(score)
+    kinds = {tokens[i] for i in at.tolist()}
+    if len(at):
+        ends = np.concatenate([[-1], np.flatnonzero(cls == ENDS), [len(cls)]])
+        for k in np.unique(np.searchsorted(ends, at)).tolist():
+            lo, hi = int(ends[k - 1]) + 1, int(ends[k])
+            score = clause_score(tokens[lo:hi], codes[lo:hi], classes)
+            if score > 0:
+                clauses.append(score)
     n, total = max(1, len(tokens)), sum(clauses)
     return [math.log1p(total), max(clauses, default=0.0), math.log1p(len(clauses)), math.log1p(len(kinds)), math.log1p(1000 * total / n), math.log(n) * (total > 0), math.log1p(1000 * len(kinds) / n)]
 
@@ -183,7 +221,7 @@ def insults(sample: DataFrame) -> dict[str, float]:
     """Stems with their weight: the log of how much likelier they are in toxic documents, at most LEXICON."""
 
     def work(toxic: list, texts: list) -> dict:
-        sets = [{w for w in TOKEN.findall((t or "").lower()) if len(w) > 1} for t in texts]
+        sets = [{w for w in tokens_of(t) if len(w) > 1} for t in texts]
         signs = [min((zlib.crc32(w.encode()) for w in s), default=0) for s in sets]
         return {"toxic": toxic, "sign": signs, "stems": [list({k for w in s for k in stems(w)}) for s in sets]}
 
@@ -222,7 +260,8 @@ def learn(docs: DataFrame, marks: DataFrame) -> Model:
     def work(toxic: list, texts: list) -> dict:
         return {"toxic": toxic, "x": [features(t, classes_of(lexicon)) for t in texts]}
 
-    rows = by_batch(sample.where("half = 1"), ["toxic", "text"], work, "toxic int, x array<double>").orderBy("x", "toxic").collect()
+    # FIT_ROWS bounds what comes here; a fixed order, as sums of floats depend on it.
+    rows = sorted(by_batch(sample.where("half = 1"), ["toxic", "text"], work, "toxic int, x array<double>").collect(), key=lambda r: (r.x, r.toxic))
     x, y = np.array([r.x for r in rows]).reshape(-1, N_FEATURES), np.array([r.toxic for r in rows], float)
     if not lexicon or len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.0
