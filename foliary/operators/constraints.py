@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Exit codes, kinds, patterns of file names.
 EXIT_CODES = {"ok": 0, "invalid_input": 10, "extraction": 20, "verification": 30, "build": 40, "internal": 50}
 KINDS = ("contents", "editorial", "research", "digest", "info")
 RESEARCH_NAME = r"^[A-Za-z]+_\d{4}-\d{2}_\d{3}-\d{3}_[A-Z][a-z]+\.pdf$"
@@ -45,6 +46,11 @@ def broken_chain(ranges: DataFrame, totals: DataFrame) -> DataFrame:
     return met.withColumn("rule", rule).where("rule is not null").select("issue", "id", "rule")
 
 
+def uncertain_starts(starts: DataFrame) -> DataFrame:
+    """V9: starts whose confidence isn't 1."""
+    return starts.where(~F.coalesce(F.col("confidence") == 1.0, F.lit(False)))
+
+
 def bad_names(articles: DataFrame) -> DataFrame:
     """V5, V6: file names that don't fit their kind or the policy; research without surname."""
     service = F.col("filename").rlike(SERVICE_NAME)
@@ -79,10 +85,31 @@ def bad_copies(copies: DataFrame) -> DataFrame:
 
 
 def missing_files(required: DataFrame, found: DataFrame) -> DataFrame:
-    """Required paths that are absent."""
+    """V7: required paths that are absent."""
     return required.join(found, "path", "left_anti")
 
 
+#: What an export folder must hold.
+EXPORT_PARTS = ("articles", "manifest", "checksums.sha256", "README.md")
+
+
+def incomplete_exports(exports: DataFrame, found: DataFrame) -> DataFrame:
+    """V7: exports (export) that lack a part, with the part; found: export, name of what each folder holds."""
+    needed = exports.select("export", F.explode(F.array(*map(F.lit, EXPORT_PARTS))).alias("name"))
+    return needed.join(found, ["export", "name"], "left_anti")
+
+
+def bad_inputs(inputs: DataFrame, files: DataFrame) -> DataFrame:
+    """Inputs (issue_id, journal_code, pdf_path) without a required field, or whose path is absent or no file.
+
+    files: path, is_file of what is there.
+    """
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    met = inputs.join(files.select(F.col("path").alias("pdf_path"), "is_file"), "pdf_path", "left")
+    rule = F.when(blank("issue_id"), "issue_id").when(blank("journal_code"), "journal_code").when(blank("pdf_path"), "pdf_path").when(F.col("is_file").isNull(), "absent").when(~F.col("is_file"), "no_file")
+    return met.withColumn("rule", rule).where("rule is not null").select("issue_id", "journal_code", "pdf_path", "rule")
+
+
 def split_files(ranges: DataFrame, files: DataFrame) -> DataFrame:
     """Each range with its split file; violations are rows without one, or with an empty one."""
     named = ranges.withColumn("file", F.concat_ws("_", F.col("issue").cast("string"), F.concat("id", F.lit(".pdf"))))
@@ -108,3 +135,29 @@ def bad_codes(issues: DataFrame) -> DataFrame:
 def bad_starts(starts: DataFrame) -> DataFrame:
     """Starts without a page from 1 on, or without a kind."""
     return starts.where("start_page is null or start_page < 1 or kind is null")
+
+
+def less_fields(column: str, fields: tuple[str, ...]) -> Column:
+    """An array of structs without some of their fields."""
+    return F.transform(column, lambda x: x.dropFields(*fields))
+
+
+def unlike_manifests(actual: DataFrame, golden: DataFrame, key: str, drop: tuple[str, ...] = (), drop_within: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Keys whose manifests differ, or are on one side only, when fields of each run are left out.
+
+    drop: top-level fields; drop_within: fields of the structs in an array column, by column.
+    """
+
+    def bare(df: DataFrame, name: str) -> DataFrame:
+        out = df.drop(*drop)
+        for column, fields in (drop_within or {}).items():
+            out = out.withColumn(column, less_fields(column, fields))
+        return out.select(key, F.struct(*sorted(c for c in out.columns if c != key)).alias(name))
+
+    met = bare(actual, "a").join(bare(golden, "g"), key, "full_outer")
+    return met.where("not (a <=> g)").select(key, F.when(F.col("a").isNull(), "golden_only").when(F.col("g").isNull(), "actual_only").otherwise("differs").alias("rule"))
+
+
+def grafted(documents: DataFrame, more: DataFrame, key: str, column: str) -> DataFrame:
+    """Documents with one column of another stage's document put in; null where that stage gave none."""
+    return documents.join(more.select(key, column), key, "left")

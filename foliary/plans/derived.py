@@ -15,6 +15,7 @@ TEXTS = (
     "Уважаемые коллеги!", "ИНФОРМАЦИЯ", " information ", "Дайджест новостей за месяц", "Digest of the month", "Оригинальное исследование сердца", "Исследование сердца и сосудов",
     "Heart and vessel research", "Аннотация: цель работы", "Институт кардиологии", "г. Москва, ул. Ленина", "doi 10.1234/abc.2026.02.1-9 and 10.5555/xyz", "Муртазалиева А.А.",
     "Гуменюк П.П.", "TPM1 A.B.", "rs1143 A.B.", "Ёлкин  Я.Ю.", "abc фыв", "Зайцев О.О.; Vol. 3", "123 ()", "Щукин ый Э.Э.",
+    "Аннотация", " \u00a0Дайджест рынка за год",
 )
 CYCLE = 60
 
@@ -44,14 +45,21 @@ def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("issue", (group * 1_000_000 + F.col("seq")).alias("seq"), "page", kind.alias("type"), "text", value.alias("value"), "font_name", "font_size")
 
 
-def totals(a: DataFrame) -> DataFrame:
-    return a.groupBy("issue").agg((F.max("page") + 1).alias("total_pages"))
+def issues(pages: DataFrame, beyond: int = 1) -> DataFrame:
+    """issue, total_pages (its last page and `beyond`), issue_id (mg_YYYY_MM by arithmetic on the id)."""
+    y = F.format_string("mg_%04d_%02d", (2000 + F.col("issue") % 30).cast("long"), (F.col("issue") % 12 + 1).cast("long"))
+    return pages.groupBy("issue").agg((F.max("page") + beyond).alias("total_pages")).withColumn("issue_id", y)
 
 
-def prefixes(a: DataFrame) -> DataFrame:
-    """issue, prefix: Mg_YYYY-MM by arithmetic on the id."""
-    y = F.format_string("mg_%04d_%02d", (2000 + F.col("issue") % 30).cast("long"), (F.col("issue") % 12 + 1).cast("long"))
-    return a.select("issue").distinct().withColumn("issue_id", y)
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """issue, page, page_height, text, blocks: blocks as a PDF library's JSON, one of a single span each, with some of other kinds, short boxes, missing sizes and fonts."""
+    s = spans(spark, sf_dir)
+    k = F.col("k")
+    box = F.array("x0", "y0", "x1", "y1")
+    span = F.struct("text", F.when(k % 31 == 11, F.slice(box, 1, 3)).otherwise(box).alias("bbox"), F.when(k % 37 != 13, F.col("font_size")).alias("size"), F.when(k % 41 == 3, "").otherwise(F.col("font_name")).alias("font"))
+    block = F.struct("seq", "text", F.when(k % 29 == 7, 1).otherwise(0).alias("type"), F.array(F.struct(F.array(span).alias("spans"))).alias("lines"))
+    listed = s.groupBy("issue", "page", "page_height").agg(F.array_sort(F.collect_list(block)).alias("b"))
+    return listed.select("issue", "page", "page_height", F.array_join(F.transform("b", lambda x: x["text"]), " ").alias("text"), F.to_json(F.transform("b", lambda x: x.dropFields("seq", "text"))).alias("blocks"))
 
 
 def _literal(t: str) -> str:
@@ -77,3 +85,11 @@ typed AS (
     CASE WHEN type = 'doi' THEN '10.1234/x.2026.02.' || (page - 1 + k % 3) || '-' || (page + 9) END AS value, font_name, font_size
   FROM typed
 ), totals AS (SELECT issue, max(page) + 1 AS total_pages FROM anchors GROUP BY issue)"""
+NBSP = "\u00a0"
+#: What the span scan leaves of pages(): places are 2^26 apart, as each span has a block of its own.
+SCANNED_SQL = rf"""{SPANS_SQL},
+scanned_all AS (SELECT *, (row_number() OVER (PARTITION BY issue, page ORDER BY seq) - 1) * 67108864 AS place, regexp_replace(regexp_replace(text, '[\s{NBSP}]+', ' ', 'g'), '^ | $', '', 'g') AS norm FROM spans),
+scanned AS (
+  SELECT issue, page, page_height, place AS seq, norm AS text, CASE WHEN regexp_matches(norm, '[А-ЯЁа-яё]') THEN 'ru' WHEN regexp_matches(norm, '[A-Za-z]') THEN 'en' ELSE 'unknown' END AS lang, x0, y0, x1, y1, font_size, CASE WHEN k % 41 <> 3 THEN font_name END AS font_name
+  FROM scanned_all WHERE k % 29 <> 7 AND norm <> '' AND k % 31 <> 11 AND k % 37 <> 13
+)"""

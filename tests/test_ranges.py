@@ -1,6 +1,9 @@
 """Merge, picks, ranges, cascade and rules on literal rows."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from foliary.operators import blocks, constraints, ranges
 
@@ -23,12 +26,74 @@ def test_merge_is_a_fold(spark):
 
 
 def test_title_and_authors(spark):
-    b = blocks.merged_blocks(spans(spark, [("Исследование сердца", 10.0, 20.0, 14.0), ("Vol. 3", 30.0, 32.0, 8.0), ("Гелприн М. Рассказ Майка", 50.0, 60.0, 10.0), ("Институт, г. Москва", 80.0, 90.0, 9.0)]))
-    t = blocks.titles(b)
-    assert t.first().title.text == "Исследование сердца"
-    a = blocks.authors(b, t)
-    assert a.first().author.name == "Гелприн М."
-    assert tuple(blocks.affiliations(b, a).select("affiliation", "address").first()) == ("Институт, г. Москва",) * 2
+    p = blocks.page_picks(spans(spark, [("Исследование сердца", 10.0, 20.0, 14.0), ("Vol. 3", 30.0, 32.0, 8.0), ("Гелприн М. Рассказ Майка", 50.0, 60.0, 10.0), ("Институт, г. Москва", 80.0, 90.0, 9.0)])).first()
+    assert p.title.text == "Исследование сердца"
+    assert p.author.name == "Гелприн М."
+    assert (p.affiliation.text, p.address.text) == ("Институт, г. Москва",) * 2
+    assert p.abstract is None
+
+
+def test_picks_of_one_place_go_by_merge_order(spark):
+    rows = [("Аннотация", 10.0, 12.0, 9.0), ("Аннотация: раз", 40.0, 42.0, 9.0), ("Аннотация: два", 60.0, 62.0, 9.0), ("Заголовок первый", 20.0, 22.0, 14.0), ("Заголовок второй", 20.0, 22.0, 15.0), ("Заголовок третий", 20.0, 22.0, 16.0)]
+    p = blocks.page_picks(spans(spark, rows)).first()
+    assert (p.title.text, p.abstract.text) == ("Заголовок третий", "раз")
+    assert p.author is None and p.affiliation is None
+
+
+PAGE = "issue long, page long, page_height double, text string, blocks string"
+
+
+def block(*texts, kind=0, y=10.0, size=12.0, font="MyriadPro-BoldIt", box=4):
+    return {"type": kind, "lines": [{"spans": [{"text": t, "bbox": [0.0, y + 20 * i, 9.0, y + 20 * i + 5][:box], "size": size, "font": font}]} for i, t in enumerate(texts)]}
+
+
+def test_extraction_from_pages_to_manifest(spark):
+    """The scan feeds the merge, the picks, the union and the manifest."""
+    pages = [
+        (1, 1, 100.0, "x", [block("Contents")]),
+        (1, 2, 100.0, "x", [block("  Исследование   сердца "), block("Плоткин Ф.Б.", y=60.0, size=9.0), block("Институт, г. Москва", y=80.0, size=8.0), block("фото", kind=1), block("", box=4), block("short box", box=3), block("no size", size=None)]),
+        (1, 3, 100.0, "see 10.1234/abc.2026.02.7-9 now", [block("see 10.1234/abc.2026.02.7-9 now", font="")]),
+        (1, 4, 100.0, None, None),
+        (1, 5, 100.0, "", [block("ИНФОРМАЦИЯ ДЛЯ ВСЕХ"), block("Информация", y=70.0)]),
+    ]
+    df = spark.createDataFrame([(*p[:4], json.dumps(p[4], ensure_ascii=False) if p[4] is not None else None) for p in pages], PAGE)
+    got = blocks.anchors_of(df).orderBy("seq").collect()
+    assert [(a.page, a.type, a.text or a.value) for a in got if a.page == 2] == [
+        (2, "text_block", "Исследование сердца"), (2, "text_block", "Плоткин Ф.Б."), (2, "text_block", "Институт, г. Москва"),
+        (2, "ru_title", "Исследование сердца"), (2, "ru_authors", "Плоткин Ф.Б."), (2, "ru_affiliations", "Институт, г. Москва"), (2, "ru_address", "Институт, г. Москва"),
+    ]
+    assert [(a.type, a.value, a.x1, a.confidence) for a in got if a.type == "doi"] == [("doi", "10.1234/abc.2026.02.7-9", 9.0, 0.98)]
+    assert [a.type for a in got] == sorted((a.type for a in got), key=lambda t: 0 if t == "doi" else 1 if t == "text_block" else 2 if t.startswith("ru") else 3 if t.startswith("en") else 4)
+    assert {a.font_name for a in got if a.page == 3 and a.type == "text_block"} == {None}
+    rows = blocks.merged_blocks(blocks.exploded_spans(df)).where("page = 2").orderBy("y0").collect()
+    assert [r.text for r in rows] == ["Исследование сердца", "Плоткин Ф.Б.", "Институт, г. Москва"]
+    issues = spark.createDataFrame([(1, 5, "Mg_2026-02")], "issue long, total_pages long, prefix string")
+    files = spark.createDataFrame([(1, "a02", "/f", 7, "s")], "issue long, id string, path string, bytes long, sha string")
+    m = ranges.manifest(blocks.anchors_of(df), issues, files).orderBy("nth").collect()
+    assert [(r.id, r.lo, r.hi, r.kind, r.filename) for r in m] == [
+        ("a01", 1, 1, "contents", "Mg_2026-02_001-001_Contents.pdf"), ("a02", 2, 4, "research", "Mg_2026-02_002-004_Plotkin.pdf"), ("a03", 5, 5, "info", "Mg_2026-02_005-005_Info.pdf"),
+    ]
+    assert m[1].evidence.asDict() == {"anchor_type": "ru_authors", "anchor_page": 2, "en_authors_verified": None, "text_block_index": None}
+    assert m[1].splitter_output.asDict() == {"path": "/f", "bytes": 7, "sha256": "s"}
+    assert m[0].splitter_output is None and m[0].surname is None
+    assert blocks.anchors_of(df.limit(0)).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_manifest_plan(spark, tmp_path):
+    """Anchors are read twice (pages, issues) and go through few exchanges; extraction shuffles nothing."""
+    path = f"{tmp_path}/a"
+    anchors(spark, [(5, "text_block", "Исследование сердца")]).write.parquet(path)
+    a = spark.read.parquet(path)
+    issues = a.groupBy("issue").agg((F.max("page") + 1).alias("total_pages")).withColumn("prefix", F.lit("Mg_2026-02"))
+    plan = plan_of(ranges.manifest(a, issues))
+    assert plan.count("FileScan parquet") <= 2
+    assert plan.count("Exchange ") <= 5
+    df = spark.createDataFrame([(1, 1, 1.0, "", "[]")], PAGE)
+    assert "Exchange" not in plan_of(blocks.anchors_of(df))
 
 
 def anchors(spark, rows):
@@ -36,6 +101,7 @@ def anchors(spark, rows):
 
 
 def test_ranges_of_a_known_issue(spark):
+    # The start pages of a known issue.
     starts = [5, 6, 16, 28, 34, 42, 51, 67, 74, 80, 88, 97, 108, 110, 113, 116, 119, 122, 125, 130, 133, 137, 140, 143, 145, 148, 151, 154]
     rows = [(1, p, "research", 1) for p in starts] + [(1, 3, "contents", 0)]
     got = ranges.ranges(spark.createDataFrame(rows, "issue long, start_page long, kind string, origin int"), spark.createDataFrame([(1, 156)], "issue long, total_pages long")).orderBy("nth").collect()
@@ -80,7 +146,39 @@ def test_kinds(spark):
 )
 def test_surname_cascade(spark, rows, want):
     found = spark.createDataFrame([(1, "a01", 5, "research")], "issue long, id string, lo long, kind string")
-    assert tuple(ranges.surnames(found, anchors(spark, rows)).select("surname", "source").first()) == want
+    got = ranges.surnames(found, anchors(spark, rows)).first()
+    assert (got.surname, got.source) == want
+    if want == ("Zaytsev", "text_block_translit"):
+        assert tuple(got.evidence) == ("text_block", 6, None, 2)
+
+
+def test_surnames_fit_file_names(spark):
+    """What a file name can't hold is replaced in the surname itself."""
+    found = spark.createDataFrame([(1, "a01", 5, "research")], "issue long, id string, lo long, kind string")
+    assert ranges.surnames(found, anchors(spark, [(5, "en_authors", "O'Brien J.J.")])).first().surname is None
+    assert ranges.surnames(found, anchors(spark, [(5, "en_authors", "Smith'son J.J.")])).first().surname == "Smith_son"
+
+
+def test_first_range_that_is_no_contents(spark):
+    """A front contents start whose own page goes to a heading on it: the range from page 1 is reverified, its surname comes from pages 1 and 2."""
+    rows = [(1, "ru_authors", "Иванов И.И."), (3, "contents_marker", "Contents"), (3, "text_block", "Исследование сердца"), (3, "en_authors", "Smith J.J.")]
+    issues = spark.createDataFrame([(1, 9, "Mg_2026-02")], "issue long, total_pages long, prefix string")
+    m = ranges.manifest(anchors(spark, rows), issues).orderBy("nth").collect()
+    assert [(r.lo, r.hi, r.first_kind, r.kind, r.surname) for r in m] == [(1, 2, "contents", "research", "Ivanov"), (3, 9, "contents", "contents", None)]
+
+
+def test_digest_titles_may_be_padded(spark):
+    rows = [(5, "text_block", "Исследование сердца"), (5, "ru_title", " \u00a0Дайджест"), (7, "text_block", "Исследование сосудов"), (7, "ru_title", "О дайджесте")]
+    assert {r.start_page: r.kind for r in ranges.article_starts(anchors(spark, rows)).collect()} == {5: "digest", 7: "editorial"}
+
+
+def test_constants():
+    """Values that queries and their SQL share, told again."""
+    p = ranges.POLICY
+    assert (p.font_name, p.font_size, p.tolerance, p.min_chars, p.bylines, p.front_pages, p.contents_reach) == ("MyriadPro-BoldIt", 12.0, 0.5, 10, 6, 4, 2)
+    assert (blocks.FONT_GAP, blocks.LINE_GAP, blocks.TOP_SHARE, blocks.TITLE_CHARS) == (0.5, 6.0, 0.40, 10)
+    assert constraints.EXIT_CODES == {"ok": 0, "invalid_input": 10, "extraction": 20, "verification": 30, "build": 40, "internal": 50}
+    assert constraints.KINDS == ("contents", "editorial", "research", "digest", "info")
 
 
 def test_rules(spark):
