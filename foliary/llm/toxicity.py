@@ -231,7 +231,7 @@ def insults(sample: DataFrame) -> dict[str, float]:
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         return {}
-    counts = each.groupBy("stem").agg(F.count_distinct(F.when(F.col("toxic") == 1, F.col("sign"))).alias("b"), F.count_distinct(F.when(F.col("toxic") == 0, F.col("sign"))).alias("g"))
+    counts = each.distinct().groupBy("stem").agg(F.sum("toxic").alias("b"), F.sum(1 - F.col("toxic")).alias("g"))
     weight = F.log((F.col("b") + 0.5) / (bad + 1)) - F.log((F.col("g") + 0.5) / (good + 1))
     kept = counts.where(F.col("b") >= MIN_GROUPS).withColumn("weight", F.round(weight, 6)).where(F.col("weight") >= math.log(MIN_LIFT))
     # By what is gained: a common stem with a fair lift before a rare one with a high lift.
@@ -258,7 +258,8 @@ def learn(docs: DataFrame, marks: DataFrame) -> Model:
     lexicon = insults(sample)
 
     def work(toxic: list, texts: list) -> dict:
-        return {"toxic": toxic, "x": [features(t, classes_of(lexicon)) for t in texts]}
+        classes = classes_of(lexicon)
+        return {"toxic": toxic, "x": [features(t, classes) for t in texts]}
 
     # FIT_ROWS bounds what comes here; a fixed order, as sums of floats depend on it.
     rows = sorted(by_batch(sample.where("half = 1"), ["toxic", "text"], work, "toxic int, x array<double>").collect(), key=lambda r: (r.x, r.toxic))
@@ -274,7 +275,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score for each row."""
 
     def work(ids: list, texts: list) -> dict:
-        x = np.array([features(t, classes_of(model.lexicon)) for t in texts]).reshape(-1, N_FEATURES)
+        classes = classes_of(model.lexicon)
+        x = np.array([features(t, classes) for t in texts]).reshape(-1, N_FEATURES)
         return {"doc_id": ids, "score": model.score(x)}
 
     return by_batch(no_clash(docs, "doc_id", "text"), ["doc_id", "text"], work, "doc_id long, score double")
