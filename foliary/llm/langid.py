@@ -52,7 +52,8 @@ def byte_classes() -> np.ndarray:
     return out
 
 
-CLASSES, N_CLASSES = byte_classes(), 92
+#: The last class is no byte's: it stands behind each text, and nothing goes on with it.
+CLASSES, N_CLASSES, END = byte_classes(), 93, 92
 
 
 def symbols(data: np.ndarray) -> np.ndarray:
@@ -141,38 +142,59 @@ def packed_rows(to: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     return owner, target
 
 
-def run_lanes(flat: np.ndarray, model: Model, at: np.ndarray, end: np.ndarray, stop: np.ndarray, marks: np.ndarray, meet: bool) -> np.ndarray:
-    """Parse from `at` past `end` to the next phrase, or to `stop`; marks get the phrases that begin before `end`.
+def first_parse(flat: np.ndarray, model: Model, at: np.ndarray, end: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Parse each lane as if a phrase began at its start: marks within, then where it leaves off behind its end."""
+    order = np.argsort(at - end, kind="stable")
+    start, size = at[order], (end - at)[order]
+    place = start[None, :] + np.arange(size[0])[:, None]
+    chars = np.ascontiguousarray(flat[np.minimum(place, len(flat) - 1)])
+    fails = np.zeros(chars.shape, bool)
+    fails[0] = True
+    state = model.anew[chars[0]]
+    for k, n in enumerate(np.searchsorted(-size, -np.arange(1, size[0]), side="left"), start=1):
+        c, now = chars[k, :n], state[:n]
+        slot = now + c
+        fail = model.owner[slot] != now
+        state[:n] = np.where(fail, model.anew[c], model.target[slot])
+        fails[k, :n] = fail
+    within = np.arange(size[0])[:, None] < size
+    marks[place[within]] = fails[within]
+    out = np.empty(len(at), np.int64)
+    out[order] = go_on(flat, model, state, start + size)
+    return out
+
 
-    Gives where each lane left off; -1 for lanes that met a mark of an earlier parse (with meet), from where on it holds.
-    """
-    out = np.full(len(at), -1, np.int64)
-    lane = np.arange(len(at))
+def go_on(flat: np.ndarray, model: Model, state: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Where the phrases that are under way end."""
+    out, lane = np.empty(len(p), np.int64), np.arange(len(p))
+    while len(lane):
+        slot = state + flat[p]
+        fail = model.owner[slot] != state
+        out[lane[fail]] = p[fail]
+        keep = ~fail
+        lane, p, state = lane[keep], p[keep] + 1, model.target[slot[keep]]
+    return out
+
+
+def parse_again(flat: np.ndarray, model: Model, at: np.ndarray, end: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Parse from `at`, where a phrase begins, until a mark of the earlier parse is met, from where on it holds (-1), or past `end`."""
+    out, lane = np.full(len(at), -1, np.int64), np.arange(len(at))
     marks[at] = True
     state, p = model.anew[flat[at]], at + 1
     while len(lane):
-        over = p >= stop
+        over = p >= end
         if over.any():
-            out[lane[over]] = stop[over]
+            out[lane[over]] = go_on(flat, model, state[over], p[over])
             keep = ~over
-            lane, p, end, stop, state = lane[keep], p[keep], end[keep], stop[keep], state[keep]
-            if not len(lane):
-                break
+            lane, p, end, state = lane[keep], p[keep], end[keep], state[keep]
         c = flat[p]
         slot = state + c
         fail = model.owner[slot] != state
-        state = np.where(fail, model.anew[c], model.target[slot])
-        inside = p < end
-        gone = fail & ~inside
-        out[lane[gone]] = p[gone]
-        if meet:
-            gone |= fail & inside & marks[p]
-            inside &= ~gone
-        marks[p[inside]] = fail[inside]
-        if gone.any():
-            keep = ~gone
-            lane, p, end, stop, state = lane[keep], p[keep], end[keep], stop[keep], state[keep]
-        p = p + 1
+        met = fail & marks[p]
+        marks[p] = fail
+        keep = ~met
+        state = np.where(fail, model.anew[c], model.target[slot])[keep]
+        lane, p, end = lane[keep], p[keep] + 1, end[keep]
     return out
 
 
@@ -190,8 +212,8 @@ def run_one(flat: np.ndarray, model: Model, at: int, stop: int, marks: np.ndarra
 
 
 def phrases(flat: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndarray:
-    """Phrases of each text (texts of one symbol or more, laid end to end)."""
-    stop_of = np.cumsum(sizes)
+    """Phrases of each text (texts of one symbol or more, laid end to end with END behind each)."""
+    stop_of = np.cumsum(sizes + 1) - 1
     per = -(-sizes // BLOCK)
     text = np.repeat(np.arange(len(sizes)), per)
     first = np.concatenate([[True], text[1:] != text[:-1]])
@@ -201,7 +223,7 @@ def phrases(flat: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndarray:
     end = np.minimum(at + BLOCK, stop)
     marks = np.zeros(len(flat) + 1, bool)
     entry = at.copy()
-    left = run_lanes(flat, model, at, end, stop, marks, False)
+    left = first_parse(flat, model, at, end, marks)
     for turn in range(ROUNDS + 1):
         wanted = np.where(first, at, np.concatenate([[0], left[:-1]]))
         again = np.flatnonzero(wanted != entry)
@@ -220,18 +242,24 @@ def phrases(flat: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndarray:
         left[again[~within]] = wanted[again[~within]]
         new = again[within]
         new = new[~marks[entry[new]]]
-        got = run_lanes(flat, model, entry[new], end[new], stop[new], marks, True)
+        got = parse_again(flat, model, entry[new], end[new], marks)
         left[new[got >= 0]] = got[got >= 0]
     return np.add.reduceat(marks[:-1].astype(np.int64), stop_of - sizes)
 
 
+def laid(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts end to end, END behind each, and their sizes."""
+    behind = np.array([END], np.uint8)
+    return np.concatenate([x for s in seqs for x in (s, behind)]), np.array([len(s) for s in seqs], np.int64)
+
+
 def classify(texts: list[str | None], models: list[Model]) -> tuple[list[str], list[float]]:
     at = [i for i, t in enumerate(texts) if t and models and LETTER.search(t)]
     langs, scores = [UND] * len(texts), [0.0] * len(texts)
     if not at:
         return langs, scores
     seqs = [symbols(np.frombuffer(texts[i].encode("utf-8", "replace"), np.uint8)) for i in at]
-    flat, sizes = np.concatenate(seqs), np.array([len(s) for s in seqs], np.int64)
+    flat, sizes = laid(seqs)
     costs = np.stack([m.bits * phrases(flat, sizes, m) for m in models])
     low = costs.min(axis=0)
     others = np.sort(costs, axis=0)[1] if len(models) > 1 else low * 2

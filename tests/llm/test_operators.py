@@ -526,7 +526,7 @@ def test_parse_is_the_plain_one(monkeypatch, rounds):
     model = langid.Model.of("x", sample)
     texts = ["a", "zzz", "a" * 5000, "ab" * 3000, made("abc dé1Z", 4000), sample[100:2500] + "q" + sample[500:2900], sample * 2, "b", *(made("abc d", r.randrange(1, 1500)) for _ in range(20))]
     seqs = [langid.symbols(np.frombuffer(t.encode(), np.uint8)) for t in texts]
-    got = langid.phrases(np.concatenate(seqs), np.array([len(x) for x in seqs]), model)
+    got = langid.phrases(*langid.laid(seqs), model)
     assert got.tolist() == [brute_phrases(t, sample) for t in texts]
 
 
