@@ -144,14 +144,14 @@ def abstract_text(text: Column) -> Column:
 
 
 def transliterate(text: Column) -> Column:
-    """Word-final -ый first, as it looks at what follows; then -ие-, -ню-, then letters."""
+    """Word-final -ый first, as it looks at what follows; then -ие-, -ню-, then letters. Texts without Cyrillic are left alone."""
     out = F.regexp_replace(text, f"(?<=[ыЫ])й(?![{CYRILLIC}])", "i")
     out = F.regexp_replace(out, f"(?<=[ыЫ])Й(?![{CYRILLIC}])", "I")
     out = F.regexp_replace(F.regexp_replace(out, "и[еЕ]", "iye"), "И[еЕ]", "Iye")
     out = F.regexp_replace(F.regexp_replace(out, "н[юЮ]", "niu"), "Н[юЮ]", "Niu")
     for a, b in ONE_TO_MANY:
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.translate(out, *ONE_TO_ONE)
+    return F.when(text.rlike("[А-яЁё]"), F.translate(out, *ONE_TO_ONE)).otherwise(text)
 
 
 def first_surname(authors: Column) -> Column:
