@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,38 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Folders of the scratch blocks that are open, the innermost last.
+_OPEN: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What is stored within the block is deleted at its end, but for the last table that is handed to what this gives."""
+    paths: list[str] = []
+    kept: list[str] = []
+    _OPEN.append(paths)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = stored(df)
+        kept[:] = [paths.pop()]
+        return out
+
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        for p in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(p)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if _OPEN:
+            _OPEN[-1].extend(kept)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -56,6 +87,15 @@ def id_crc(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % mod
 
 
+def give_back() -> None:
+    """Hand memory that was freed back to the system: a worker lives on after its task, and others need the room."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def by_batch(df: DataFrame, columns: list[str], work: Callable[..., dict | None], schema: str, chars: int = 2_000_000) -> DataFrame:
     """work(*column lists) -> columns of schema, for pieces of some rows each, so that memory stays bounded.
 
@@ -72,6 +112,7 @@ def by_batch(df: DataFrame, columns: list[str], work: Callable[..., dict | None]
                 got = work(*(c.slice(lo, hi - lo).to_pylist() for c in b.columns))
                 if got is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
+            give_back()
 
     return df.select(*columns).mapInArrow(run, schema)
 
@@ -91,6 +132,7 @@ def by_whole_rows(docs: DataFrame, change: Callable[[pa.RecordBatch, list], pa.R
             for lo, hi in pieces(whole.column(at), chars):
                 part = whole.slice(lo, hi - lo)
                 yield change(part, part.column(at).to_pylist())
+            give_back()
 
     return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
 
@@ -113,14 +155,13 @@ def spread_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str) ->
     Hot keys, a thousand at most, are broadcast, so their rows stay where they are; the others meet by a shuffle. Both
     sides must be cheap to read twice.
     """
-    total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    is_hot = F.col(size) > max(1000, int(total * HOT_SHARE))
-    hot = stored(groups.where(is_hot).drop(size))
-    cold = groups.where(~is_hot).drop(size)
-    if not hot.limit(1).count():
-        return rows.join(cold, on)
-    few = F.broadcast(hot)
-    return rows.join(few, on).unionByName(rows.join(few.select(*on), on, "left_anti").join(cold, on))
+    total, top = groups.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
+    bound = max(1000, int(total * HOT_SHARE))
+    if top <= bound:
+        return rows.join(groups.drop(size), on)
+    hot = F.broadcast(stored(groups.where(F.col(size) > bound).drop(size)))
+    cold = groups.where(F.col(size) <= bound).drop(size)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))
 
 
 #: Dropped rows are broadcast up to this number: 24 bytes each, some tens of MB as a hash table.
