@@ -671,3 +671,56 @@ def test_pipeline_with_any_columns(spark, tmp_path):
         assert [r[c.strip("`")] for c in CLASHING] == [f"{c}{r.doc_id}" for c in CLASHING]
     assert {p.doc_id for p in out[4].collect()} == {2, 3, None, 4, 8, 9, 10}
     assert [d.count() for d in staged(spark, docs.limit(0), str(tmp_path))] == [0] * 5
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_substring_dedup", "base_private", "base_secrets", "base_quality"])
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    from foliary.llm import queries
+
+    small = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    duck.sql(f"create view documents as select * from read_parquet('{small}/documents.parquet')")
+    got, want = queries.QUERIES[name](spark, small).toPandas(), duck.sql(queries.ORACLE_SQL[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    rows = lambda df: sorted(map(tuple, df[sorted(df.columns)].astype(str).itertuples(index=False)))
+    assert rows(got) == rows(want)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    """Operators that judge each row for itself give repeated rows equal rows, and null ids theirs."""
+    texts = [*TEXTS, "token = \"" + "ab12" * 10 + "\" you idiot", "4111 1111 1111 1111 a@b.cd"]
+    rows = [(i, t) for i, t in enumerate(texts)] * 2 + [(None, t) for t in texts] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)] * 2 + [(None, 1, 1)], "doc_id long, quality int, toxic int")
+    outs = [
+        pii.find_private(df), secrets.scan(df), toxicity.score(df, toxicity.learn(df, marks)), quality.judge(df, quality.weights(df, marks)), bpe.encode_decode(df),
+        langid.identify(df.selectExpr("doc_id", "text", "'en' as lang")),
+    ]
+    for out in outs:
+        got = taken(out)
+        assert len(got) == len(rows)
+        named = [g for g in got if g[0] is not None]
+        assert named[::2] == named[1::2]
+        assert len({g[0] for g in named}) == len(texts)
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from foliary.llm import common
+
+    def there():
+        return len(os.listdir(common.shared_dir(spark).removeprefix("file:")))
+
+    before = there()
+    with common.scratch(spark) as keep:
+        common.stored(spark.range(3))
+        out = keep(spark.range(5))
+    assert (there() - before, out.count()) == (1, 5)
+    with common.scratch(spark) as outer:
+        with common.scratch(spark) as keep:
+            inner = keep(spark.range(7))
+        out = outer(inner)
+    assert (there() - before, out.count()) == (2, 7)
