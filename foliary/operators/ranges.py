@@ -181,7 +181,8 @@ def named(found: DataFrame, p: Policy = POLICY) -> DataFrame:
         F.when(F.col("c_ru").isNotNull(), pick(F.col("c_ru.ru"), "text_block_translit", "text_block", F.col("c_ru.page"), nth=F.col("c_ru.nth"))),
         F.when(F.col("c_en").isNotNull(), pick(F.col("c_en.en"), "text_block", "text_block", F.col("c_en.page"), nth=F.col("c_en.nth"))),
     )
-    return rows.withColumn("n", F.when(F.col("kind") == "research", n)).select(*kept, "n.surname", "n.source", "n.evidence")
+    # Exploding one element keeps the optimiser from putting the whole cascade into every rule that looks at a name.
+    return rows.select(*kept, F.explode(F.array(F.when(F.col("kind") == "research", n))).alias("n")).select(*kept, "n.surname", "n.source", "n.evidence")
 
 
 def surnames(found: DataFrame, anchors: DataFrame, p: Policy = POLICY) -> DataFrame:
