@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_batch, by_whole_rows, documents, id_crc, no_clash
+from .common import by_batch, by_whole_rows, documents, id_crc, no_clash, stored
 
 SAMPLE_DOCS, LONG, TEACH_CHARS, TEACH_TOTAL = 40, 4_000, 100_000, 4_000_000
 #: Symbols of a block, and how often blocks are parsed side by side before the rest is parsed one by one.
@@ -272,12 +272,11 @@ def teaching(train: DataFrame) -> DataFrame:
     """lang, h, text of the teaching rows."""
     rows = no_clash(train, "text", "lang").where("lang is not null and length(text) > 0").select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"), "text")
     # Of the distinct texts of a language some 16 times as many as are wanted, by hash: all tasks find them without a sort.
-    share = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts"))
-    bound = share.select("lang", F.least(F.lit(1.0), 16 * SAMPLE_DOCS / F.col("texts")).alias("share"))
-    some = rows.select("lang", "h", "n").join(F.broadcast(bound), "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).groupBy("lang", "h").agg(F.min("n").alias("n"))
+    share = stored(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("texts")).select("lang", F.least(F.lit(1.0), 16 * SAMPLE_DOCS / F.col("texts")).alias("share")))
+    most = min(TEACH_CHARS, TEACH_TOTAL // max(1, share.count()))
+    some = rows.select("lang", "h", "n").join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).groupBy("lang", "h").agg(F.min("n").alias("n"))
     by = Window.partitionBy("lang").orderBy(F.greatest("n", F.lit(LONG)), "h")
-    most = F.least(F.lit(TEACH_CHARS), F.floor(F.lit(TEACH_TOTAL) / F.greatest(F.lit(1), F.col("langs"))))
-    ranked = some.crossJoin(F.broadcast(share.agg(F.count("*").alias("langs")))).withColumn("nth", F.row_number().over(by)).withColumn("upto", F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = some.withColumn("nth", F.row_number().over(by)).withColumn("upto", F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     picked = ranked.where((F.col("nth") <= SAMPLE_DOCS) & ((F.col("upto") <= most) | (F.col("nth") == 1))).select("lang", "h")
     return rows.select("lang", "h", "text").join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
