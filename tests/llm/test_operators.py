@@ -605,6 +605,24 @@ def test_quality_scores_against_plain_counts(spark):
     assert quality.best_cut([], bad) == quality.THRESHOLD
 
 
+def test_quality_takes_every_label(spark):
+    """Labels of many other ids, here without documents, push none out; the cut on a table is that on lists."""
+    docs = spark.createDataFrame([(10 * i, " ".join([f"word{i}", prose(12, i)] if i % 3 else [f"#{i}"] * 12)) for i in range(120)], "doc_id long, text string").cache()
+    few = spark.createDataFrame([(10 * i, int(i % 3 > 0), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    more = spark.range(60_000).selectExpr("-1 - id as doc_id", "cast(id % 8 > 0 as int) as quality", "0 as toxic")
+    weight = quality.weights(docs, few)
+    assert quality.weights(docs, few.unionByName(more)) == weight
+    whole = quality.threshold_of(docs, few, weight)
+    assert quality.threshold_of(docs, few.unionByName(more), weight) == whole
+    r = random.Random(3)
+    for n_good, n_bad, step in ((300, 200, 0.05), (300, 200, 1e-7), (5, 5, 0.5), (1, 1, 1.0), (0, 4, 0.1), (4, 0, 0.1)):
+        good, bad = ([round(r.gauss(m, 0.3) / step) * step for _ in range(n)] for m, n in ((0.2, n_good), (-0.4, n_bad)))
+        scored = spark.createDataFrame([(x, 1) for x in good] + [(x, 0) for x in bad], "llr double, quality int")
+        assert quality.cut_of(scored) == quality.best_cut(good, bad)
+    low = spark.createDataFrame([(0.1, 1), (0.2, 0)], "llr double, quality int")
+    assert quality.cut_of(low) == quality.best_cut([0.1], [0.2])
+
+
 def brute_near(texts):
     """Root of each text by Jaccard of 5-word shingles."""
     sets = []
