@@ -52,6 +52,11 @@ def fingerprint(text: str | None) -> int:
         hashes = np.array([h(join(words), SEED)], np.uint64)
     else:
         hashes = np.fromiter((h(join(t), SEED) for t in zip(*(words[i:] for i in range(SHINGLE)), strict=False)), np.uint64, len(words) - SHINGLE + 1)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are 1 in over half the hashes."""
     votes = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 15):
         votes += np.unpackbits(hashes[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

@@ -66,3 +66,33 @@ def test_near_dedup_stage_is_jaccard(spark, monkeypatch, rounds):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
     assert 100 < len(want) < len(texts) - 50
     assert similar.keep_first_similar(docs.limit(0)).count() == 0
+
+
+def test_near_dedup_stage_goes_by_pivots(spark, monkeypatch):
+    """What the pivot tables bring together by fingerprints is verified, and the stage starts from it."""
+    import corpus_pipeline
+
+    r = random.Random(4)
+    vocab = ["".join(r.choices("abcdef", k=r.randint(2, 6))) for _ in range(300)]
+    texts = []
+    for _ in range(6):
+        base = r.choices(vocab, k=1500)
+        texts += [" ".join(base), " ".join([*base, "z"]), " ".join(base[:700])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, plain = [], similar.pivot_links
+
+    def watched(*args):
+        seen.append(plain(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(similar, "pivot_links", watched)
+    rows, _ = similar.similar_classes(docs)
+    at = {row.fp: row.doc_id for row in rows.collect()}
+    assert {tuple(sorted((at[p.a], at[p.b]))) for p in seen[0].collect()} == {(3 * i, 3 * i + 1) for i in range(6)}
+    marks = {row.doc_id: row.mark for row in similar.shingled(docs).collect()}
+    for i, t in enumerate(texts):
+        hashes = [int(h) for h in similar.shingles(t)]
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert marks[i] % (1 << 64) == want
+    assert sorted(row.doc_id for row in corpus_pipeline.near_dedup(spark, docs, "").collect()) == sorted(brute_kept(texts))
+    assert len(seen) == 2
