@@ -69,6 +69,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def done_with(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more. Shuffle files of finished steps go when the JVM collects their plans, so it is told to."""
+    import gc
+
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)).getParent()
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

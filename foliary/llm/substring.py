@@ -15,6 +15,8 @@ A shard holds about SHARD_WORDS words. The runs of a key go whole to its shard;
 would pass SHARD_WORDS, its runs go window by window, each to the shard of its own hash. So no shard grows with a common
 line or a word that is said over and over, and every result comes out of a shard's index.
 
+What a step stored or shuffled is deleted as soon as no later step reads it.
+
 Nulls: a null text has no words; a null id counts as larger than any other. Rows with the same id are not smaller than
 each other; repeated rows each get their row. Extra columns are ignored.
 """
@@ -28,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, documents, no_clash, spread_join, stored
+from .common import by_batch, documents, done_with, no_clash, spread_join, stored
 from .fmindex import FmIndex
 from .windows import gram_hashes, runs, words
 
@@ -138,18 +140,21 @@ def shard_intervals(shard: pd.DataFrame) -> pd.DataFrame:
 
 
 def covered_words(found: DataFrame) -> DataFrame:
-    """did, th, spans (array of word intervals to remove) from runs."""
+    """did, th, spans (array of word intervals to remove) from runs, stored."""
     contents = stored(found.groupBy("key", "content").agg(F.min("did").alias("owner"), F.count("*").alias("holders")))
     total = contents.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(1, total // (6 * SHARD_WORDS) + 1)
     dealt = contents.select("key", "content", "owner", "holders", F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
     schema = "key long, content binary, owner long, holders long, los array<int>, his array<int>"
-    judged = dealt.groupBy("shard").applyInPandas(lambda rows: shard_intervals(rows), schema).select("key", F.xxhash64("content").alias("ck"), "owner", "holders", "los", "his")
-    mine = spread_join(found.select("did", "th", "first", "count", "key", F.xxhash64("content").alias("ck")), stored(judged), ["key", "ck"], "holders")
+    judged = stored(dealt.groupBy("shard").applyInPandas(lambda rows: shard_intervals(rows), schema).select("key", F.xxhash64("content").alias("ck"), "owner", "holders", "los", "his"))
+    done_with(found.sparkSession, contents)
+    mine = spread_join(found.select("did", "th", "first", "count", "key", F.xxhash64("content").alias("ck")), judged, ["key", "ck"], "holders")
     own = F.transform(F.arrays_zip("los", "his"), lambda s: F.struct((F.col("first") + s.los).alias("lo"), (F.col("first") + s.his + (WINDOW - 1)).alias("hi")))
     every = F.array(F.struct(F.col("first").alias("lo"), (F.col("first") + F.col("count") + (WINDOW - 1)).alias("hi")))
     spans = mine.select("did", "th", F.explode(F.when(F.col("did") > F.col("owner"), every).otherwise(own)).alias("span"))
-    return spans.groupBy("did", "th").agg(F.collect_list("span").alias("spans"))
+    out = stored(spans.groupBy("did", "th").agg(F.collect_list("span").alias("spans")))
+    done_with(found.sparkSession, judged)
+    return out
 
 
 def without(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, bytes]:
@@ -165,9 +170,14 @@ def without(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, bytes]:
 def substring_dedup(docs: DataFrame, keep: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row; with keep also the kept text."""
     rows = no_clash(docs, "doc_id", "text").select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("did"), F.xxhash64("text").alias("th"), "text")
-    survey = stored(surveyed(rows))
-    found = stored(shared_runs(rows, stored(shared_keys(survey))))
-    spans = stored(covered_words(found))
+    spark = docs.sparkSession
+    whole = stored(surveyed(rows))
+    survey, keys = stored(whole.drop("keys", "held")), stored(shared_keys(whole))
+    done_with(spark, whole)
+    found = stored(shared_runs(rows, keys))
+    done_with(spark, keys)
+    spans = covered_words(found)
+    done_with(spark, found)
 
     def cut(ids: list, los: list, his: list, texts: list) -> dict:
         out: dict = {"doc_id": ids, "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
@@ -185,7 +195,7 @@ def substring_dedup(docs: DataFrame, keep: bool = False) -> DataFrame:
     met = rows.join(spans, ["did", "th"]).select("doc_id", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"), "text")
     changed = by_batch(met, ["doc_id", "lo", "hi", "text"], cut, schema)
     owners = stored(survey.groupBy("sha").agg(F.min("did").alias("top"), F.count("*").alias("copies")))
-    rest = spread_join(survey.drop("keys", "held").join(spans.select("did", "th"), ["did", "th"], "left_anti"), owners, ["sha"], "copies")
+    rest = spread_join(survey.join(spans.select("did", "th"), ["did", "th"], "left_anti"), owners, ["sha"], "copies")
     copy = (F.col("did") > F.col("top")) & (F.col("n_words") >= WINDOW)
     same = rest.select(
         F.when(F.col("did") != LAST, F.col("did")).alias("doc_id"), "n_words", F.when(copy, F.col("n_words")).otherwise(0).alias("n_removed"), F.when(copy, F.lit(sha(b""))).otherwise(F.col("sha")).alias("kept_sha256"), *(["did", "th", copy.alias("copy")] if keep else [])

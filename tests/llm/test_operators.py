@@ -724,6 +724,22 @@ def test_repeated_rows_and_null_ids(spark):
         assert len({g[0] for g in named}) == len(texts)
 
 
+def test_substring_dedup_deletes_what_it_has_read(spark, docs):
+    """Of the stored tables only those that the result reads are left, and a deleted one leaves its neighbours."""
+    import os
+
+    from foliary.llm import common
+
+    def there():
+        return set(os.listdir(common.shared_dir(spark).removeprefix("file:")))
+
+    before = there()
+    out = substring.substring_dedup(docs)
+    read = {f.split("/")[-2] for f in out.inputFiles()}
+    assert there() - before <= read
+    assert out.count() == docs.count()
+
+
 def test_scratch_tables_go(spark):
     import os
 
