@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import by_batch, documents, no_clash, spread_join, stored, without
-from .components import components
+from .components import components, forest
 
 BITS, PIVOTS = 2, 24
 SHINGLE, SEED = 3, 42
@@ -90,21 +90,6 @@ def survivors(x: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     return at[np.bitwise_count(x[i[at]] ^ x[j[at]]) <= BITS]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Label of each of n members: the smallest member that the links reach."""
-    label = np.arange(n)
-    while len(i):
-        was = label.copy()
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
-        np.minimum.at(label, was, label)
-        label = label[label]
-        if (label == was).all():
-            break
-    return label
-
-
 def cell_links(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of the fingerprints of one cell."""
     table = distances(x)

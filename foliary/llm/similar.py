@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, no_clash, spread_join, stored
+from .common import by_batch, done_with, no_clash, scratch, spread_join, stored
 from .components import components
 from .simhash import SEED, classes_of, edges, keep_first, majority, signed
 
@@ -126,17 +126,18 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
     some = stored(sets_of(texts, "sid"))
     both = pairs.join(some.select(F.col("sid").alias("a"), F.col("s").alias("sa")), "a").join(some.select(F.col("sid").alias("b"), F.col("s").alias("sb")), "b")
     good = 9 * F.size(F.array_intersect("sa", "sb")) >= 4 * (F.size("sa") + F.size("sb"))
-    return stored(both.where(good).select("a", "b"))
+    return both.where(good).select("a", "b")
 
 
 ABOUT = ["sid", "place", "n", *SKETCH, "root"]
 
 
 def linked(pairs: DataFrame, docs: DataFrame, rows: DataFrame, large: DataFrame) -> DataFrame:
-    """a, b of those pairs (x, y: members of one key) that link."""
+    """a, b of those pairs (x, y: members of one key) that link, stored; what is stored on the way is deleted."""
     a, b = F.col("x.sid"), F.col("y.sid")
-    met = stored(pairs.where(may_link("x", "y")).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
-    return verified(wide_enough(met, large), docs, rows) if met.limit(1).count() else met
+    with scratch(docs.sparkSession) as keep:
+        met = stored(pairs.where(may_link("x", "y")).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
+        return keep(verified(wide_enough(met, large), docs, rows) if met.limit(1).count() else met)
 
 
 def pivot_links(docs: DataFrame, rows: DataFrame, large: DataFrame) -> DataFrame:
@@ -147,34 +148,45 @@ def pivot_links(docs: DataFrame, rows: DataFrame, large: DataFrame) -> DataFrame
     near = edges(firsts.select(F.col("mark").alias("fp"))).distinct()
     for c in "ab":
         near = near.join(firsts.select(F.col("mark").alias(c), F.col("b").alias(f"{c}s")), c)
-    pairs = stored(same.unionByName(near.select(F.col("as").alias("a"), F.col("bs").alias("b"))))
+    pairs = near_pairs = stored(same.unionByName(near.select(F.col("as").alias("a"), F.col("bs").alias("b"))))
     about = rows.select("sid", F.lit(0).alias("place"), "n", *SKETCH, F.col("sid").alias("root"))
     about = about.join(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid", "left_semi").dropDuplicates(["sid"])
     about = stored(about.select("sid", F.struct(*ABOUT).alias("s")))
     for c, side in (("a", "x"), ("b", "y")):
         pairs = pairs.join(about.select(F.col("sid").alias(c), F.col("s").alias(side)), c)
-    return linked(pairs, docs, rows, large)
+    out = linked(pairs, docs, rows, large)
+    done_with(docs.sparkSession, firsts, near_pairs, about)
+    return out
 
 
 def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """rows of shingled() -> node, root: classes of linked sets; sets that link with none are absent."""
+    """rows of shingled() -> node, root: classes of linked sets; sets that link with none are absent.
+
+    Stored tables are deleted once read, shuffles of finished steps with them: on few rows and many partitions files take more disk than rows.
+    """
+    spark = docs.sparkSession
     keys = rows.select("sid", F.posexplode("keys").alias("place", "key"))
     shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("key", "m", (F.col("m") <= FEW).alias("few"))
-    met = stored(spread_join(keys, stored(shared), ["key"], "m").distinct())
-    about = rows.select("sid", "n", *SKETCH).join(met.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
+    shared = stored(shared)
+    first = stored(spread_join(keys, shared, ["key"], "m").distinct())
+    about = rows.select("sid", "n", *SKETCH).join(first.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
     large = stored(rows.where(F.col("n") > WIDE).select("sid", "n", "wide").dropDuplicates(["sid"]))
     roots = stored(components(pivot_links(docs, rows, large)))
-    met = stored(met.join(about, "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
+    met = stored(first.join(about, "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
+    done_with(spark, shared, first)
     few = met.where("few")
     found = linked(few.alias("x").join(few.alias("y"), F.col("x.key") == F.col("y.key")), docs, rows, large)
     crowds = stored(met.where("not few").drop("few", "root"))
+    done_with(spark, met)
 
     def open_keys() -> tuple[DataFrame, DataFrame]:
         """Members of crowded keys that hold more than one class, and those keys with their size m and largest class."""
         now = stored(crowds.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")))
         each = now.groupBy("key", "root").agg(F.count("*").alias("m"))
         still = stored(each.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("m"), F.count("*").alias("classes")).where("classes > 1").drop("classes"))
-        return stored(spread_join(now, still.select("key", "m"), ["key"], "m")), still
+        here = stored(spread_join(now, still.select("key", "m"), ["key"], "m"))
+        done_with(spark, now)
+        return here, still
 
     def joined(new: DataFrame) -> DataFrame:
         """Roots after new links: the old ones go in as links."""
@@ -187,19 +199,25 @@ def similar_roots(docs: DataFrame, rows: DataFrame) -> DataFrame:
         here, still = open_keys()
         if not still.limit(1).count():
             return roots
-        hubs = here.groupBy("key").agg(F.min_by(F.struct(*ABOUT), F.xxhash64("sid", "key", F.lit(turn))).alias("y")).join(still.select("key", "m"), "key")
-        roots = joined(linked(spread_join(here.select("key", F.struct(*ABOUT).alias("x")), stored(hubs), ["key"], "m"), docs, rows, large))
+        hubs = stored(here.groupBy("key").agg(F.min_by(F.struct(*ABOUT), F.xxhash64("sid", "key", F.lit(turn))).alias("y")).join(still.select("key", "m"), "key"))
+        found = linked(spread_join(here.select("key", F.struct(*ABOUT).alias("x")), hubs, ["key"], "m"), docs, rows, large)
+        done_with(spark, here, still, hubs)
+        roots = joined(found)
     here, still = open_keys()
     # The key's largest class is left out on one side: its members need no look at each other.
     others = spread_join(here, still, ["key"], "m").where("root <> main").drop("main")
-    return joined(linked(others.alias("x").join(here.alias("y"), F.col("x.key") == F.col("y.key")), docs, rows, large))
+    found = linked(others.alias("x").join(here.alias("y"), F.col("x.key") == F.col("y.key")), docs, rows, large)
+    done_with(spark, here, still, crowds, large)
+    return joined(found)
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, th, fp, n; classes: fp, root, size, first), as of simhash.near_classes; fp stands for the set."""
     whole = stored(shingled(docs))
     rows = stored(whole.groupBy("doc_id", "th", F.col("sid").alias("fp")).agg(F.count("*").alias("n")))
-    return rows, classes_of(rows, lambda _: similar_roots(docs, whole))
+    classes = classes_of(rows, lambda _: similar_roots(docs, whole))
+    done_with(docs.sparkSession, whole)
+    return rows, classes
 
 
 def keep_first_similar(docs: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """The near-dedup stage against brute-force Jaccard of 5-word shingles."""
 
+import os
 import random
 import re
 
 import pytest
 
-from foliary.llm import similar
+from foliary.llm import common, components, simhash, similar
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -96,3 +97,50 @@ def test_near_dedup_stage_goes_by_pivots(spark, monkeypatch):
         assert marks[i] % (1 << 64) == want
     assert sorted(row.doc_id for row in corpus_pipeline.near_dedup(spark, docs, "").collect()) == sorted(brute_kept(texts))
     assert len(seen) == 2
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_of_few_and_of_any_edges(spark, monkeypatch, few):
+    """Few edges take no rounds; the rounds, for any number, give the same and leave one table."""
+    r = random.Random(5)
+    nodes = [r.getrandbits(64) - (1 << 63) for _ in range(120)]
+    pairs = [(r.choice(nodes), r.choice(nodes)) for _ in range(60)] + list(zip(nodes[60:], nodes[61:], strict=False)) + [(nodes[0], nodes[0])]
+    low = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in low:
+        for a, b in pairs:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    made_tables, plain = [], components.stored
+    monkeypatch.setattr(components, "FEW_EDGES", few)
+    monkeypatch.setattr(components, "stored", lambda df: made_tables.append(plain(df)) or made_tables[-1])
+    before = tables(spark)
+    got = components.components(spark.createDataFrame(pairs, "a long, b long"))
+    assert {x.node: x.root for x in got.collect()} == low
+    assert len(tables(spark) - before) == 1
+    assert (len(made_tables) > 1) == (few == 0)
+    assert components.components(spark.createDataFrame(pairs[-1:], "a long, b long")).count() == 0
+
+
+def tables(spark):
+    return set(os.listdir(common.shared_dir(spark).removeprefix("file:")))
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_near_dedup_deletes_what_it_has_read(spark, monkeypatch, few):
+    """Many partitions make a file of each handful of rows, so tables that nothing reads any more must go at once."""
+    texts = made(8)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before, most, plain = tables(spark), [0], common.stored
+
+    def counted(df):
+        out = plain(df)
+        most[0] = max(most[0], len(tables(spark) - before))
+        return out
+
+    monkeypatch.setattr(components, "FEW_EDGES", few)
+    for module in (common, components, similar, simhash):
+        monkeypatch.setattr(module, "stored", counted)
+    kept = similar.keep_first_similar(docs)
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(brute_kept(texts))
+    assert most[0] <= 24
+    assert len(tables(spark) - before) <= 16
