@@ -30,6 +30,9 @@ CYRILLIC = "Ѐ-ӿ"
 #: Letters written as one letter, and those written as several or none.
 ONE_TO_ONE = ("АБВГДЕЁЗИЙКЛМНОПРСТУФЫЭабвгдеёзийклмнопрстуфыэ", "ABVGDEEZIYKLMNOPRSTUFYEabvgdeeziyklmnoprstufye")
 ONE_TO_MANY = (("Ж", "Zh"), ("Х", "Kh"), ("Ц", "Ts"), ("Ч", "Ch"), ("Ш", "Sh"), ("Щ", "Shch"), ("Ю", "Yu"), ("Я", "Ya"), ("Ъ", ""), ("Ь", ""), ("ж", "zh"), ("х", "kh"), ("ц", "ts"), ("ч", "ch"), ("ш", "sh"), ("щ", "shch"), ("ю", "yu"), ("я", "ya"), ("ъ", ""), ("ь", ""))
+#: Letters whose full capital is several letters, and the one letter that is theirs (ß, Greek with iota below); others of that sort have none.
+_IOTA = [chr(i) for i in range(0x1F80, 0x1FB0) if not i & 8]
+ONE_CAPITAL = ("ß" + "".join(_IOTA) + "ᾳῃῳ", "ẞ" + "".join(chr(ord(c) + 8) for c in _IOTA) + "ᾼῌῼ")
 
 
 def _false(c: Column) -> Column:
@@ -104,8 +107,10 @@ def first_word(text: Column) -> Column:
 
 
 def capitalised(word: Column) -> Column:
-    """The first character upper, the rest as it is."""
-    return F.concat(F.upper(F.substring(word, 1, 1)), word.substr(F.lit(2), F.length(word)))
+    """The first character upper, one for one, the rest as it is. What has no single capital stays."""
+    first = F.substring(word, 1, 1)
+    upper = F.upper(first)
+    return F.concat(F.when(F.length(upper) == 1, upper).otherwise(F.translate(first, *ONE_CAPITAL)), word.substr(F.lit(2), F.length(word)))
 
 
 def is_single_byline(text: Column) -> Column:

@@ -54,3 +54,16 @@ def test_functions(spark):
     assert values(spark, T.issue_prefix, {"mg_2025_12": "Mg_2025-12"}) == []
     assert values(spark, T.abstract_text, {"Аннотация: цель": "цель", "Аннотация ": None, "Цель": None}) == []
     assert values(spark, lambda c: T.padded_page(c.cast("int")), {"7": "007", "1000": "1000"}) == []
+
+
+def test_capital_is_one_letter_as_in_sql(spark):
+    """A line that begins with ß had SS for it, where the SQL has one letter."""
+    import duckdb
+
+    from foliary.plans.catalog import _cap
+
+    words = [f"{a}bc" for a in ["ß", "ŉ", "ΐ", "ﬁ", *T.ONE_CAPITAL[0], *T.ONE_CAPITAL[1], "é", "я", "z", "Z", "1"]] + ["", "ß"]
+    got = spark.createDataFrame([(w,) for w in words], "t string").select("t", T.capitalised(F.col("t"))).collect()
+    want = duckdb.execute(f"select t, {_cap('t')} from (select unnest(?::varchar[]) as t)", [words]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert values(spark, T.capitalised, {"ßen": "ẞen", "ﬁn": "ﬁn"}) == []
