@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -17,11 +17,12 @@ only the base rules decide. Repeated rows each get their row.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, labels, no_clash, stored
+from .common import SPACE, WORD, documents, labels, no_clash, stored
 
 BUCKETS, SMOOTH, THRESHOLD, LOSS = 65_536, 1.0, -0.13, 20
 #: Bins to a unit of score. Scores are means of logs, so there are some thousands of bins at most, whatever the corpus.
@@ -145,7 +146,7 @@ def measured(docs: DataFrame) -> DataFrame:
     rows = no_clash(docs, "doc_id", "text").select(
         "doc_id",
         F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("h"),
-        (F.length(text) - F.length(F.regexp_replace(text, WORD, ""))).cast("long").alias("word_chars"),
+        F.length(reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), SPACE, text)).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         lines.alias("lines"),
     )
@@ -163,10 +164,14 @@ def score_of(hashes: Column, weight: list[float]) -> Column:
     return F.when(F.size(hashes) == 0, 0.0).otherwise(total / (F.size(hashes) * 2 - 1))
 
 
+def with_base(docs: DataFrame) -> DataFrame:
+    """doc_id, h, n_words, the four counts, base_failed for each row: nothing is trained for these."""
+    return measured(docs).withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+
+
 def scored(docs: DataFrame, weight: list[float]) -> DataFrame:
     """doc_id, n_words, the four counts, base_failed, llr for each row."""
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measured(docs).withColumn("llr", score_of(F.col("h"), weight)).withColumn("base_failed", failed).drop("h")
+    return with_base(docs).withColumn("llr", score_of(F.col("h"), weight)).drop("h")
 
 
 def verdict(rows: DataFrame, threshold: float) -> DataFrame:

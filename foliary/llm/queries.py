@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .base_sql import PRIVATE_SQL, QUALITY_SQL, SECRET_SQL
 from .bpe import op6_bpe
+from .common import documents
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .langid import op9_langid
 from .packing import op7_packing
 from .pii import op4_pii
-from .quality import op10_quality
+from .quality import op10_quality, with_base
 from .secrets import op8_secrets
 from .simhash import op3_simhash
 from .substring import OP2_SQL, op2_substring_dedup
@@ -28,8 +29,8 @@ def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What SQL can say of op10."""
-    return op10_quality(spark, sf_dir).drop("kept", "llr")
+    """What SQL can say of op10: the same step over all documents, without the training that only kept and llr need."""
+    return with_base(documents(spark, sf_dir)).drop("h")
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_simhash, op4_pii, op5_toxicity, op6_bpe, op7_packing, op8_secrets, op9_langid, op10_quality, base_private, base_secrets, base_quality)}

@@ -706,6 +706,22 @@ def test_query_equals_its_sql(spark, name):
     assert rows(got) == rows(want)
 
 
+def test_base_quality_trains_nothing(spark, tmp_path):
+    """Its columns need no labels, scores or shuffles, so it is one pass over the documents; it trained and scored as op10 does."""
+    import duckdb
+
+    from foliary.llm import queries
+
+    texts = ["a\tb\x0bc\x0cd\re f\n\nf\u00a0g h\x1fi j é # $", "x y z w v " * 4, "one\ntwo\none\n \n", " \n", "", None, "ß" * 40]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["base_quality"](spark, str(tmp_path))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    duck = duckdb.connect()
+    duck.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = duck.sql(queries.ORACLE_SQL["base_quality"])
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
 def test_repeated_rows_and_null_ids(spark):
     """Operators that judge each row for itself give repeated rows equal rows, and null ids theirs."""
     texts = [*TEXTS, "token = \"" + "ab12" * 10 + "\" you idiot", "4111 1111 1111 1111 a@b.cd"]
