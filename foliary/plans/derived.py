@@ -6,7 +6,7 @@ with literal texts put in so that every branch of every operator has rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TEXTS = (
@@ -20,19 +20,26 @@ TEXTS = (
 CYCLE = 60
 
 
+def _key(issue: Column, pos: Column) -> Column:
+    return (issue * 31 + pos * 7) % CYCLE
+
+
+def _span(pos: Column, line: Column, k: Column) -> dict[str, Column]:
+    """The columns of the span at a line with key k."""
+    texts = F.array(*(F.lit(t) for t in TEXTS))
+    y0 = (10 + pos % 3 * 14 + k % 3 * 4).cast("double")
+    return {
+        "seq": pos, "k": k, "page": (F.floor(pos / 3) + 1).cast("long"), "text": F.when(k < len(TEXTS), F.get(texts, k.cast("int"))).otherwise(line),
+        "x0": (k % 5).cast("double"), "y0": y0, "x1": (k % 5 + 200).cast("double"), "y1": y0 + 12,
+        "font_size": (10 + (k % 6) * 0.5).cast("double"), "font_name": F.when(k % 4 < 2, "MyriadPro-BoldIt").otherwise("Times"), "page_height": F.lit(100.0),
+    }
+
+
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """issue, seq, page, text, lang-free spans with boxes and fonts."""
     lines = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("issue"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    k = (F.col("issue") * 31 + F.col("pos") * 7) % CYCLE
-    with_k = lines.withColumn("pos", F.col("pos").cast("long")).withColumn("k", k)
-    texts = F.array(*(F.lit(t) for t in TEXTS))
-    y0 = (10 + F.col("pos") % 3 * 14 + F.col("k") % 3 * 4).cast("double")
-    return with_k.select(
-        "issue", F.col("pos").alias("seq"), "k", (F.floor(F.col("pos") / 3) + 1).cast("long").alias("page"),
-        F.when(F.col("k") < len(TEXTS), F.get(texts, F.col("k").cast("int"))).otherwise(F.col("line")).alias("text"),
-        (F.col("k") % 5).cast("double").alias("x0"), y0.alias("y0"), (F.col("k") % 5 + 200).cast("double").alias("x1"), (y0 + 12).alias("y1"),
-        (10 + (F.col("k") % 6) * 0.5).cast("double").alias("font_size"), F.when(F.col("k") % 4 < 2, "MyriadPro-BoldIt").otherwise("Times").alias("font_name"), F.lit(100.0).alias("page_height"),
-    )
+    with_k = lines.withColumn("pos", F.col("pos").cast("long")).withColumn("k", _key(F.col("issue"), F.col("pos")))
+    return with_k.select("issue", *(c.alias(n) for n, c in _span(F.col("pos"), F.col("line"), F.col("k")).items()))
 
 
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,13 +59,23 @@ def issues(pages: DataFrame, beyond: int = 1) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """issue, page, page_height, text, blocks: blocks as a PDF library's JSON, one of a single span each, with some of other kinds, short boxes, missing sizes and fonts."""
-    s = spans(spark, sf_dir)
-    k = F.col("k")
-    box = F.array("x0", "y0", "x1", "y1")
-    span = F.struct("text", F.when(k % 31 == 11, F.slice(box, 1, 3)).otherwise(box).alias("bbox"), F.when(k % 37 != 13, F.col("font_size")).alias("size"), F.when(k % 41 == 3, "").otherwise(F.col("font_name")).alias("font"))
-    block = F.struct("seq", "text", F.when(k % 29 == 7, 1).otherwise(0).alias("type"), F.array(F.struct(F.array(span).alias("spans"))).alias("lines"))
-    listed = s.groupBy("issue", "page", "page_height").agg(F.array_sort(F.collect_list(block)).alias("b"))
+    """issue, page, page_height, text, blocks, dealt by issue, so that nothing behind it by issue needs an exchange: blocks as a PDF library's JSON, one of a single span each, with some of other kinds, short boxes, missing sizes and fonts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy(F.col("doc_id").alias("issue")).agg(F.collect_list("text").alias("texts"))
+    lines = docs.select("issue", F.transform("texts", lambda t: F.split(t, "\n")).alias("texts"))
+    last = F.array_max(F.transform("texts", lambda t: F.floor((F.size(t) - 1) / 3) + 1)).cast("int")
+    numbered = lines.select("issue", "texts", F.explode(F.sequence(F.lit(1), last)).alias("page"))
+    # A page's lines are three neighbours of a text: of each text, if several have one id.
+    here = F.flatten(F.transform("texts", lambda t: F.transform(F.slice(t, F.col("page") * 3 - 2, 3), lambda x, i: F.struct(((F.col("page") - 1) * 3 + i).cast("long").alias("pos"), x.alias("line")))))
+    placed = numbered.select("issue", F.col("page").cast("long").alias("page"), here.alias("at"))
+    keyed = F.transform("at", lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"), _key(F.col("issue"), x["pos"]).alias("k")))
+
+    def block(x: Column) -> Column:
+        k, s = x["k"], _span(x["pos"], x["line"], x["k"])
+        box = F.array(s["x0"], s["y0"], s["x1"], s["y1"])
+        span = F.struct(s["text"].alias("text"), F.when(k % 31 == 11, F.slice(box, 1, 3)).otherwise(box).alias("bbox"), F.when(k % 37 != 13, s["font_size"]).alias("size"), F.when(k % 41 == 3, "").otherwise(s["font_name"]).alias("font"))
+        return F.struct(s["seq"].alias("seq"), s["text"].alias("text"), F.when(k % 29 == 7, 1).otherwise(0).alias("type"), F.array(F.struct(F.array(span).alias("spans"))).alias("lines"))
+
+    listed = placed.select("issue", "page", F.lit(100.0).alias("page_height"), F.array_sort(F.transform(keyed, block)).alias("b"))
     return listed.select("issue", "page", "page_height", F.array_join(F.transform("b", lambda x: x["text"]), " ").alias("text"), F.to_json(F.transform("b", lambda x: x.dropFields("seq", "text"))).alias("blocks"))
 
 

@@ -193,3 +193,18 @@ def test_rules(spark):
     with pytest.raises(constraints.RuleBroken) as e:
         constraints.require(files, "none", constraints.EXIT_CODES["verification"])
     assert e.value.code == 30
+
+
+def test_pages_go_by_issue_from_the_start(spark, tmp_path):
+    """Pages are made within their document, so the whole way needs one exchange of documents for each reading; it had one more by page, twice."""
+    from foliary.plans import catalog
+    from foliary.plans import derived as D
+
+    rows = [(i % 9 - 2 if i % 5 else None, None if i % 7 == 0 else "\n".join(f"l{i}  {j}" * (j % 3) for j in range(i % 12))) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    pages = D.pages(spark, str(tmp_path)).select("issue", "page", "text", F.size(F.from_json("blocks", blocks.BLOCKS_JSON)).alias("n"))
+    by_span = D.spans(spark, str(tmp_path)).groupBy("issue", "page").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("s"))
+    want = by_span.select("issue", "page", F.array_join("s.text", " ").alias("text"), F.size("s").alias("n"))
+    assert pages.exceptAll(want).count() == want.exceptAll(pages).count() == 0
+    plan = catalog.QUERIES["extracted_manifest"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -67,3 +67,14 @@ def test_capital_is_one_letter_as_in_sql(spark):
     want = duckdb.execute(f"select t, {_cap('t')} from (select unnest(?::varchar[]) as t)", [words]).fetchall()
     assert sorted(map(tuple, got)) == sorted(want)
     assert values(spark, T.capitalised, {"ßen": "ẞen", "ﬁn": "ﬁn"}) == []
+
+
+def test_white_space_is_unicodes(spark):
+    """The rules that are fast on plain spaces do as the patterns they stand for."""
+    from itertools import product
+
+    texts = ["".join(x) for n in range(4) for x in product("a \n  \x85\x1f", repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    c = F.col("t")
+    assert df.where(T.stripped(c) != F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).count() == 0
+    assert df.where(T.normal_space(c) != F.trim(F.regexp_replace(c, r"(?U)\s+", " "))).count() == 0
